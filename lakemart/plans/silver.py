@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakemart.functions.scalar import lower_text, title_case
 from lakemart.operators.enrich import join_on_key, keep_one_per_key, rank_within, with_global_mean
 from lakemart.operators.rules import Rule, shopper_rules, validate
-from lakemart.session import local_path
+from lakemart.session import cut_lineage, local_path
 from lakemart.sources.files import PARTITION_COLUMNS, read_parquet
 from lakemart.sources.sinks import write_partitioned
 
@@ -31,17 +31,26 @@ def join_feeds(info: DataFrame, activity: DataFrame, key: str = "user_id") -> Da
 
 
 def ranked_rows(info: DataFrame, activity: DataFrame, key: str = "user_id",
-                rules: list[Rule] | None = None, rank_method: str = "ranged") -> tuple[DataFrame, DataFrame]:
-    """(valid rows, valid rows with ``rank_in_country``), before de-duplication."""
+                rules: list[Rule] | None = None, rank_method: str = "ranged",
+                materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, valid rows with ``rank_in_country``), before de-duplication.
+
+    With ``materialize`` the valid rows are written once to the shared
+    checkpoint folder: the rank, the global mean and the output all read them,
+    so the inputs are scanned and joined once instead of once per branch.
+    """
     valid = validate(join_feeds(info, activity, key), rules if rules is not None else shopper_rules(key))
+    if materialize:
+        valid = cut_lineage(valid, "silver-valid")
     ranked = rank_within(valid, "country", "average_order_value", "rank_in_country",
                          descending=True, method=rank_method)
     return valid, ranked
 
 
 def silver_transform(info: DataFrame, activity: DataFrame, key: str = "user_id",
-                     rules: list[Rule] | None = None, rank_method: str = "ranged") -> DataFrame:
-    valid, ranked = ranked_rows(info, activity, key, rules, rank_method)
+                     rules: list[Rule] | None = None, rank_method: str = "ranged",
+                     materialize: bool = True) -> DataFrame:
+    valid, ranked = ranked_rows(info, activity, key, rules, rank_method, materialize)
     with_mean = with_global_mean(ranked, "income_level", "avg_global_income", source=valid)
     one = keep_one_per_key(with_mean, key, DEDUP_ORDER)
     return (one.withColumn("preferred_payment_method", lower_text("preferred_payment_method"))

@@ -153,3 +153,569 @@ def q_normalise_text(spark: SparkSession, base: str) -> DataFrame:
     j = sv.join_feeds(info, act)
     return j.select("user_id", lower_text("preferred_payment_method").alias("preferred_payment_method"),
                     title_case("country").alias("country"))
+
+
+# ------------------------------------------------------------------ helpers
+
+def _t(spark: SparkSession, base: str, name: str) -> DataFrame:
+    from lakemart.sources.files import read_table_file
+    return read_table_file(spark, base, name)
+
+
+def _restore_types(df: DataFrame, like: DataFrame) -> DataFrame:
+    """Cast columns read back from text to the types of the source table."""
+    types = {f.name: f.dataType for f in like.schema.fields}
+    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+
+
+# ------------------------------------------------------------- sources
+
+@query("csv_header_scan", "SELECT * FROM orders")
+def q_csv_header_scan(spark: SparkSession, base: str) -> DataFrame:
+    """orders -> CSV with header (K5) -> CSV read with inferred types."""
+    from lakemart.session import scratch_path
+    from lakemart.sources.files import read_csv
+    from lakemart.sources.sinks import write_csv
+    orders = _t(spark, base, "orders")
+    path = scratch_path(spark, "orders-csv")
+    write_csv(orders, path, header=True)
+    return _restore_types(read_csv(spark, path, header=True, infer=True), orders)
+
+
+CUSTOMER_TEXT_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+
+
+@query("csv_raw_scan", """
+SELECT 'c_custkey' AS _c0, 'c_name' AS _c1, 'c_nationkey' AS _c2, 'c_mktsegment' AS _c3
+UNION ALL
+SELECT CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), c_mktsegment FROM customer""")
+def q_csv_raw_scan(spark: SparkSession, base: str) -> DataFrame:
+    """A headered file read without header (S2): the header is a data row."""
+    from lakemart.session import scratch_path
+    from lakemart.sources.files import read_csv_raw
+    from lakemart.sources.sinks import write_csv
+    path = scratch_path(spark, "customer-csv")
+    write_csv(_t(spark, base, "customer").select(*CUSTOMER_TEXT_COLUMNS), path, header=True)
+    return read_csv_raw(spark, path)
+
+
+@query("declared_csv_table", """
+SELECT CAST(NULL AS BIGINT) AS c_custkey, rpad('c_name', 25, ' ') AS c_name,
+       CAST(NULL AS INTEGER) AS c_nationkey, rpad('c_mktsegment', 20, ' ') AS c_mktsegment
+UNION ALL
+SELECT c_custkey, rpad(c_name, 25, ' '), c_nationkey, rpad(c_mktsegment, 20, ' ') FROM customer""")
+def q_declared_csv_table(spark: SparkSession, base: str) -> DataFrame:
+    """A catalog table over delimited text under a declared schema (S3)."""
+    import uuid
+
+    from lakemart.session import scratch_path
+    from lakemart.sources.files import declare_csv_table
+    from lakemart.sources.sinks import write_csv
+    path = scratch_path(spark, "customer-declared")
+    write_csv(_t(spark, base, "customer").select(*CUSTOMER_TEXT_COLUMNS), path, header=True)
+    table = f"customer_text_{uuid.uuid4().hex[:8]}"
+    return declare_csv_table(spark, table,
+                             "c_custkey BIGINT, c_name CHAR(25), c_nationkey INT, c_mktsegment CHAR(20)", path)
+
+
+ORDERS_DATED_SQL = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, "
+                    "CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, "
+                    "CAST(day(o_orderdate) AS INTEGER) AS day FROM orders")
+
+
+@query("parquet_partition_scan", ORDERS_DATED_SQL)
+def q_parquet_partition_scan(spark: SparkSession, base: str) -> DataFrame:
+    """Date-partitioned Parquet written (K2) and read back with partition columns."""
+    from lakemart.plans.bronze import add_date_partitions
+    from lakemart.session import scratch_path
+    from lakemart.sources.files import read_parquet
+    from lakemart.sources.sinks import write_partitioned
+    path = scratch_path(spark, "orders-by-day")
+    write_partitioned(add_date_partitions(_t(spark, base, "orders"), "o_orderdate"), path, mode="overwrite")
+    return read_parquet(spark, path)
+
+
+@query("table_roundtrip", "SELECT * FROM customer")
+def q_table_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """saveAsTable into a database made on demand (K4), read by name."""
+    from lakemart.session import scratch_path
+    from lakemart.sources.files import read_catalog_table
+    from lakemart.sources.sinks import ensure_database, save_table
+    ensure_database(spark, "lakemart_copy", scratch_path(spark, "lakemart_copy-db"))
+    save_table(_t(spark, base, "customer"), "lakemart_copy.customer", mode="overwrite")
+    return read_catalog_table(spark, "lakemart_copy.customer")
+
+
+def supplier_documents(spark: SparkSession, base: str) -> DataFrame:
+    """Nested documents built from ``supplier``: a ``fields`` struct with a
+    ``"code - text"`` description and a geolocation array (one element when
+    the balance is negative, two otherwise)."""
+    s = _t(spark, base, "supplier")
+    geo = (F.when(F.col("s_acctbal") < 0, F.array(F.col("s_acctbal")))
+            .otherwise(F.array(F.col("s_acctbal"), F.col("s_nationkey").cast("double"))))
+    return s.select(
+        F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("premise_name"),
+                 F.col("s_nationkey").alias("premise_state"),
+                 F.concat_ws(" - ", F.col("s_nationkey").cast("string"), F.col("s_name")).alias("type_description"),
+                 geo.alias("geolocation")).alias("fields"),
+        F.col("s_suppkey").alias("recordid"))
+
+
+def staged_supplier_json(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.session import scratch_path
+    from lakemart.sources.files import read_json
+    from lakemart.sources.sinks import write_json
+    path = scratch_path(spark, "supplier-json")
+    write_json(supplier_documents(spark, base), path)
+    return read_json(spark, path)
+
+
+@query("json_nested_scan", """
+SELECT s_suppkey AS recordid, s_suppkey AS id, s_name AS premise_name, CAST(s_nationkey AS BIGINT) AS premise_state,
+       CAST(s_nationkey AS VARCHAR) || ' - ' || s_name AS type_description,
+       CAST(CASE WHEN s_acctbal < 0 THEN 1 ELSE 2 END AS INTEGER) AS n_geo
+FROM supplier""")
+def q_json_nested_scan(spark: SparkSession, base: str) -> DataFrame:
+    """Nested JSON with inferred schema (S7), nested fields read by path."""
+    docs = staged_supplier_json(spark, base)
+    return docs.select("recordid", F.col("fields.id").alias("id"),
+                       F.col("fields.premise_name").alias("premise_name"),
+                       F.col("fields.premise_state").alias("premise_state"),
+                       F.col("fields.type_description").alias("type_description"),
+                       F.size("fields.geolocation").alias("n_geo"))
+
+
+WORD_COUNT_SQL = r"""
+SELECT word, count(*) AS n
+FROM (SELECT unnest(regexp_split_to_array(text, '[ \t\n\r\f]+')) AS word FROM documents) t
+WHERE word <> ''
+GROUP BY word"""
+
+
+@query("word_count", WORD_COUNT_SQL)
+def q_word_count(spark: SparkSession, base: str) -> DataFrame:
+    """Whitespace word count over every document's whole text."""
+    from lakemart.operators.text import word_count
+    return word_count(_t(spark, base, "documents"), "text")
+
+
+@query("word_count_text", WORD_COUNT_SQL)
+def q_word_count_text(spark: SparkSession, base: str) -> DataFrame:
+    """The full job: documents staged as text files (S8), counted, written as
+    ``word<TAB>n`` lines (K6) and read back."""
+    from lakemart.plans.wordcount import read_word_counts, run_word_count
+    from lakemart.session import scratch_path
+    from lakemart.sources.sinks import write_text
+    src = scratch_path(spark, "docs-text")
+    out = scratch_path(spark, "word-counts")
+    write_text(_t(spark, base, "documents").select("text").filter(F.col("text").isNotNull()), src)
+    run_word_count(spark, src, out)
+    return read_word_counts(spark, out)
+
+
+# ------------------------------------------------------------ bronze (G1, K1)
+
+BRONZE_FEED_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, "
+                      "last_purchase_date STRING")
+
+
+def staged_orders_feed(spark: SparkSession, base: str) -> str:
+    """orders as a dated CSV feed (date as ``yyyy-MM-dd`` text)."""
+    from lakemart.session import scratch_path
+    from lakemart.sources.sinks import write_csv
+    path = scratch_path(spark, "orders-feed")
+    feed = _t(spark, base, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice",
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("last_purchase_date"))
+    write_csv(feed, path, header=True)
+    return path
+
+
+BRONZE_ROWS_SQL = ("SELECT o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS last_purchase_date, "
+                   "CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, "
+                   "CAST(day(o_orderdate) AS INTEGER) AS day FROM orders")
+
+
+@query("bronze_append", BRONZE_ROWS_SQL)
+def q_bronze_append(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.plans.bronze import load_bronze
+    from lakemart.session import scratch_path
+    feed = staged_orders_feed(spark, base)
+    out = scratch_path(spark, "bronze-orders")
+    load_bronze(spark, feed, out, schema=BRONZE_FEED_SCHEMA)
+    return spark.read.parquet(out)
+
+
+@query("bronze_append_twice", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       CAST(day(o_orderdate) AS INTEGER) AS day, 2 * count(*) AS n
+FROM orders GROUP BY 1, 2, 3""")
+def q_bronze_append_twice(spark: SparkSession, base: str) -> DataFrame:
+    """Appending the same feed twice doubles every day."""
+    from lakemart.plans.bronze import load_bronze
+    from lakemart.session import scratch_path
+    feed = staged_orders_feed(spark, base)
+    out = scratch_path(spark, "bronze-orders-twice")
+    load_bronze(spark, feed, out, schema=BRONZE_FEED_SCHEMA)
+    load_bronze(spark, feed, out, schema=BRONZE_FEED_SCHEMA)
+    return spark.read.parquet(out).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("bronze_stream", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       CAST(day(o_orderdate) AS INTEGER) AS day, count(*) AS n
+FROM orders GROUP BY 1, 2, 3""")
+def q_bronze_stream(spark: SparkSession, base: str) -> DataFrame:
+    """The incremental bronze load run twice over the same feed: the second run
+    finds no new file, so every day is loaded exactly once."""
+    from lakemart.session import scratch_path
+    from lakemart.streaming.bronze_stream import stream_bronze
+    feed = staged_orders_feed(spark, base)
+    out = scratch_path(spark, "bronze-stream")
+    ckpt = scratch_path(spark, "bronze-stream-ckpt")
+    for _ in range(2):
+        stream_bronze(spark, feed, out, ckpt, BRONZE_FEED_SCHEMA)
+    return spark.read.parquet(out).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("bronze_dates", """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS last_purchase_date,
+       CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       CAST(day(o_orderdate) AS INTEGER) AS day
+FROM orders""")
+def q_bronze_dates(spark: SparkSession, base: str) -> DataFrame:
+    """Text date -> DATE (bad text -> null) -> year / month / day."""
+    from lakemart.functions.scalar import date_parts, safe_date
+    o = _t(spark, base, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("txt"))
+    d = safe_date("txt")
+    return o.select("o_orderkey", d.alias("last_purchase_date"),
+                    *[c.alias(n) for n, c in date_parts(d).items()])
+
+
+# --------------------------------------------------------- silver / gold sinks
+
+SILVER_SELECT = ("SELECT user_id, age, country, gender, income_level, last_purchase_date, year, month, day, "
+                 "average_order_value, preferred_payment_method, return_rate, rank_in_country, "
+                 "round(avg_global_income, 4) AS avg_global_income FROM silver")
+
+
+@query("silver_roundtrip", with_fixtures(SILVER_SELECT))
+def q_silver_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """Silver written partitioned by date (overwrite, K2) and read back."""
+    from lakemart.session import scratch_path
+    from lakemart.sources.sinks import write_partitioned
+    path = scratch_path(spark, "silver")
+    write_partitioned(silver_frame(spark, base), path, mode="overwrite")
+    return round4(spark.read.parquet(path), "avg_global_income")
+
+
+@query("medallion_files", with_fixtures(SILVER_SELECT))
+def q_medallion_files(spark: SparkSession, base: str) -> DataFrame:
+    """Bronze -> silver through files: both feeds staged as dated CSV, loaded
+    into date-partitioned bronze, silver built from the bronze datasets."""
+    from lakemart.plans.bronze import load_bronze
+    from lakemart.session import scratch_path
+    from lakemart.sources.sinks import write_csv
+    pc = fx.customer_orders(spark, base)
+    info = fx.profile(spark, base, pc)
+    act = fx.activity(spark, base, pc).join(
+        pc.select(F.col("o_custkey").alias("user_id"), F.col("last_order").cast("date").alias("last_purchase_date")),
+        "user_id")
+    feeds = {}
+    for name, df in (("user_info1", info), ("user_info2", act)):
+        src = scratch_path(spark, f"feed-{name}")
+        write_csv(df, src, header=True)
+        feeds[name] = src
+    info_schema = ("user_id BIGINT, age INT, country STRING, gender STRING, income_level DOUBLE, "
+                   "last_purchase_date DATE")
+    act_schema = ("user_id BIGINT, average_order_value DOUBLE, preferred_payment_method STRING, "
+                  "return_rate DOUBLE, last_purchase_date DATE")
+    bronze1, bronze2 = scratch_path(spark, "bronze-user_info1"), scratch_path(spark, "bronze-user_info2")
+    load_bronze(spark, feeds["user_info1"], bronze1, schema=info_schema)
+    load_bronze(spark, feeds["user_info2"], bronze2, schema=act_schema)
+    silver = sv.build_silver(spark, bronze1, bronze2, scratch_path(spark, "silver-files"))
+    return round4(silver.select(*SILVER_COLUMNS), "avg_global_income")
+
+
+@query("mart_segmentation", with_fixtures("SELECT user_id, gender, country, rank_in_country FROM silver"))
+def q_mart_segmentation(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.plans.gold import build_segmentation
+    from lakemart.session import scratch_path
+    return build_segmentation(spark, silver_frame(spark, base), database="gold",
+                              db_location=scratch_path(spark, "gold-db"))
+
+
+@query("mart_returns", with_fixtures(
+    "SELECT user_id, age, income_level, return_rate, row_number() OVER (ORDER BY user_id) AS row_no FROM silver"))
+def q_mart_returns(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.plans.gold import build_returns
+    from lakemart.session import scratch_path
+    return build_returns(spark, silver_frame(spark, base), scratch_path(spark, "predictive_returns"),
+                         database=None)
+
+
+# ------------------------------------------------------ serving and report
+
+RETURNS_SQL = "SELECT user_id, age, income_level, return_rate FROM silver"
+
+
+def returns_frame(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.plans.gold import returns
+    return returns(silver_frame(spark, base))
+
+
+@query("first_n", "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 10")
+def q_first_n(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.operators.paging import first_n
+    return first_n(_t(spark, base, "customer").select("c_custkey", "c_name"), 10, "c_custkey")
+
+
+@query("page", with_fixtures(RETURNS_SQL + " ORDER BY user_id LIMIT 50 OFFSET 100"))
+def q_page(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.operators.paging import page
+    return page(returns_frame(spark, base), 3, 50, "user_id")
+
+
+@query("page_by_rowno", ORACLE["page"])
+def q_page_by_rowno(spark: SparkSession, base: str) -> DataFrame:
+    """Page 3 of 50 from the mart file through its stored row numbers."""
+    from lakemart.plans.gold import build_returns
+    from lakemart.plans.serve import serve_page
+    from lakemart.session import scratch_path
+    path = scratch_path(spark, "predictive_returns")
+    build_returns(spark, silver_frame(spark, base), path, database=None)
+    _, items = serve_page(spark, path, 3, 50)
+    return items
+
+
+@query("page_total", with_fixtures("SELECT count(*) AS total FROM silver"))
+def q_page_total(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.operators.paging import row_count
+    return row_count(returns_frame(spark, base))
+
+
+@query("page_past_end", with_fixtures(
+    "SELECT CAST(total // 50 + 2 AS INTEGER) AS page, 50 AS page_size, total, CAST(0 AS BIGINT) AS n_items "
+    "FROM (SELECT count(*) AS total FROM silver) t"))
+def q_page_past_end(spark: SparkSession, base: str) -> DataFrame:
+    """A page two past the last one: no items, the true total."""
+    from lakemart.operators.paging import page_summary, row_count
+    mart = returns_frame(spark, base)
+    total = row_count(mart).first()["total"]
+    return page_summary(mart, int(total // 50 + 2), 50)
+
+
+@query("age_histogram", with_fixtures(
+    "SELECT age, count(*) AS n FROM silver WHERE age IS NOT NULL GROUP BY age ORDER BY age"))
+def q_age_histogram(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.plans.serve import age_report
+    return age_report(returns_frame(spark, base))["age_histogram"]
+
+
+AGE_BUCKET_SQL = ("SELECT CAST(floor(age / 10) * 10 AS INTEGER) AS age_bucket, round(avg({c}), 4) AS mean_{c} "
+                  "FROM silver WHERE age IS NOT NULL GROUP BY 1 ORDER BY 1")
+
+
+@query("income_by_age_bucket", with_fixtures(AGE_BUCKET_SQL.format(c="income_level")))
+def q_income_by_age_bucket(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.plans.serve import age_report
+    return round4(age_report(returns_frame(spark, base))["income_by_age_bucket"], "mean_income_level")
+
+
+@query("return_rate_by_age_bucket", with_fixtures(AGE_BUCKET_SQL.format(c="return_rate")))
+def q_return_rate_by_age_bucket(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.plans.serve import age_report
+    return round4(age_report(returns_frame(spark, base))["return_rate_by_age_bucket"], "mean_return_rate")
+
+
+# ------------------------------------------------------- conform and union
+
+def customer_feed_spec():
+    from lakemart.plans.conform import FeedSpec
+    return FeedSpec(
+        constants={"county": "A"},
+        renames={"c_custkey": "datasetId", "c_name": "name", "c_nationkey": "state",
+                 "c_mktsegment": "type", "c_acctbal": "geoX"},
+        typed_nulls={"geoY": "double", "dateEnd": "string"},
+        id_parts=["state", "county", "datasetId"],
+        columns=CONFORMED_COLUMNS)
+
+
+def supplier_feed_spec():
+    from lakemart.plans.conform import FeedSpec
+    return FeedSpec(
+        constants={"county": "B"},
+        nested={"datasetId": "fields.id", "name": "fields.premise_name", "state": "fields.premise_state"},
+        splits={"type": ("fields.type_description", " - ", 1)},
+        array_items={"geoX": ("fields.geolocation", 0), "geoY": ("fields.geolocation", 1)},
+        typed_nulls={"dateEnd": "string"},
+        drop=["fields", "recordid"],
+        id_parts=["state", "county", "datasetId"],
+        columns=CONFORMED_COLUMNS)
+
+
+CONFORMED_COLUMNS = ["datasetId", "name", "state", "county", "type", "geoX", "geoY", "dateEnd", "id"]
+
+CONFORM_A_SQL = """
+SELECT c_custkey AS datasetId, c_name AS name, c_nationkey AS state, 'A' AS county, c_mktsegment AS type,
+       c_acctbal AS geoX, CAST(NULL AS DOUBLE) AS geoY, CAST(NULL AS VARCHAR) AS dateEnd,
+       CAST(c_nationkey AS VARCHAR) || '_' || 'A' || '_' || CAST(c_custkey AS VARCHAR) AS id
+FROM customer"""
+
+CONFORM_B_SQL = """
+SELECT s_suppkey AS datasetId, s_name AS name, CAST(s_nationkey AS BIGINT) AS state, 'B' AS county,
+       string_split(CAST(s_nationkey AS VARCHAR) || ' - ' || s_name, ' - ')[2] AS type,
+       s_acctbal AS geoX, CASE WHEN s_acctbal < 0 THEN NULL ELSE CAST(s_nationkey AS DOUBLE) END AS geoY,
+       CAST(NULL AS VARCHAR) AS dateEnd,
+       CAST(s_nationkey AS VARCHAR) || '_' || 'B' || '_' || CAST(s_suppkey AS VARCHAR) AS id
+FROM supplier"""
+
+
+@query("conform_a", CONFORM_A_SQL)
+def q_conform_a(spark: SparkSession, base: str) -> DataFrame:
+    """Flat feed: bulk rename, constant, typed nulls, composite id."""
+    from lakemart.plans.conform import conform
+    return conform(_t(spark, base, "customer"), customer_feed_spec())
+
+
+@query("conform_b", CONFORM_B_SQL)
+def q_conform_b(spark: SparkSession, base: str) -> DataFrame:
+    """Nested JSON feed: fields by path, split item, array items."""
+    from lakemart.plans.conform import conform
+    return conform(staged_supplier_json(spark, base), supplier_feed_spec())
+
+
+@query("union_by_name", "SELECT datasetId, name, CAST(state AS BIGINT) AS state, county, type, geoX, geoY, "
+                        "dateEnd, id FROM (" + CONFORM_A_SQL + ") a UNION ALL " + CONFORM_B_SQL)
+def q_union_by_name(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.plans.conform import conform_and_union
+    return conform_and_union(_t(spark, base, "customer"), customer_feed_spec(),
+                             staged_supplier_json(spark, base), supplier_feed_spec())
+
+
+@query("union_positional", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""")
+def q_union_positional(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.operators.sets import union_positional
+    c = _t(spark, base, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    s = _t(spark, base, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    return union_positional(c, s)
+
+
+@query("replicate", "SELECT c.* FROM customer c CROSS JOIN range(61) r")
+def q_replicate(spark: SparkSession, base: str) -> DataFrame:
+    """The original plus 60 copies, from one scan."""
+    from lakemart.operators.sets import replicate
+    return replicate(_t(spark, base, "customer"), 61)
+
+
+@query("concat_name", with_fixtures(
+    "SELECT user_id, country || ', ' || gender AS display_name FROM profile"))
+def q_concat_name(spark: SparkSession, base: str) -> DataFrame:
+    """``last, first`` style concat; null when either part is null."""
+    from lakemart.functions.scalar import concat_cols
+    p = fx.profile(spark, base)
+    return p.select("user_id", concat_cols(F.col("country"), F.lit(", "), F.col("gender")).alias("display_name"))
+
+
+@query("composite_id", """
+SELECT c_custkey, CAST(c_nationkey AS VARCHAR) || '_' || 'A' || '_' || CAST(c_custkey AS VARCHAR) AS id
+FROM customer""")
+def q_composite_id(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.plans.conform import composite_id
+    c = _t(spark, base, "customer").withColumn("county", F.lit("A"))
+    return c.select("c_custkey", composite_id(["c_nationkey", "county", "c_custkey"]).alias("id"))
+
+
+@query("split_item", """
+SELECT o_orderkey, o_orderpriority, string_split(o_orderpriority, '-')[2] AS priority_name,
+       string_split(o_orderpriority, '-')[3] AS priority_extra
+FROM orders""")
+def q_split_item(spark: SparkSession, base: str) -> DataFrame:
+    """Item 1 of a split, and a missing item 2 as null."""
+    from lakemart.functions.scalar import split_item
+    o = _t(spark, base, "orders")
+    return o.select("o_orderkey", "o_orderpriority",
+                    split_item("o_orderpriority", "-", 1).alias("priority_name"),
+                    split_item("o_orderpriority", "-", 2).alias("priority_extra"))
+
+
+@query("array_item", """
+SELECT c_custkey, c_acctbal AS geo_x, CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(c_nationkey AS DOUBLE) END AS geo_y
+FROM customer""")
+def q_array_item(spark: SparkSession, base: str) -> DataFrame:
+    """Elements 0 and 1 of a one- or two-element array; missing -> null."""
+    from lakemart.functions.scalar import array_item
+    c = _t(spark, base, "customer")
+    arr = (F.when(F.col("c_acctbal") < 0, F.array(F.col("c_acctbal")))
+            .otherwise(F.array(F.col("c_acctbal"), F.col("c_nationkey").cast("double"))))
+    return c.select("c_custkey", array_item(arr, 0).alias("geo_x"), array_item(arr, 1).alias("geo_y"))
+
+
+# ------------------------------------------------------------ derive
+
+@query("midpoint", """
+SELECT l_orderkey, l_linenumber, l_discount AS lcl, l_tax AS ucl, (l_discount + l_tax) / 2 AS avg,
+       l_discount AS lcl2, l_tax AS ucl2
+FROM lineitem""")
+def q_midpoint(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.plans.derive import derive
+    li = _t(spark, base, "lineitem").select("l_orderkey", "l_linenumber",
+                                            F.col("l_discount").alias("lcl"), F.col("l_tax").alias("ucl"))
+    return derive(li, "col")
+
+
+@query("derive_modes", """
+SELECT p_partkey, CAST(p_size AS DOUBLE) AS lcl, p_retailprice AS ucl,
+       (CAST(p_size AS DOUBLE) + p_retailprice) / 2 AS avg, CAST(p_size AS DOUBLE) AS lcl2, p_retailprice AS ucl2
+FROM part CROSS JOIN range(61) r""")
+def q_derive_modes(spark: SparkSession, base: str) -> DataFrame:
+    """Amplify part 61x, rename the spaced limit names, derive (mode ``col``)."""
+    from lakemart.plans.derive import amplified_derive
+    p = _t(spark, base, "part").select(
+        "p_partkey", F.col("p_size").cast("double").alias("Lower Confidence Limit"),
+        F.col("p_retailprice").alias("Upper Confidence Limit"))
+    return amplified_derive(p, "col", copies=60)
+
+
+# ------------------------------------------------------------ vertical split
+
+ORDERS_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def _orders_halves() -> tuple[list[str], list[str]]:
+    from lakemart.operators.project import shuffled_halves
+    return shuffled_halves(ORDERS_COLUMNS, ["o_orderkey"], seed=42)
+
+
+@query("vertical_split", "SELECT " + ", ".join(["o_orderkey"] + _orders_halves()[0]) + " FROM orders")
+def q_vertical_split(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.operators.project import vertical_split
+    left, _ = vertical_split(_t(spark, base, "orders"), ["o_orderkey"], seed=42)
+    return left
+
+
+@query("vertical_split_right", "SELECT " + ", ".join(["o_orderkey"] + _orders_halves()[1]) + " FROM orders")
+def q_vertical_split_right(spark: SparkSession, base: str) -> DataFrame:
+    from lakemart.operators.project import vertical_split
+    _, right = vertical_split(_t(spark, base, "orders"), ["o_orderkey"], seed=42)
+    return right
+
+
+@query("vertical_split_rejoin", "SELECT * FROM orders")
+def q_vertical_split_rejoin(spark: SparkSession, base: str) -> DataFrame:
+    """Both halves joined back on the id equal the input."""
+    from lakemart.operators.project import rejoin, vertical_split
+    orders = _t(spark, base, "orders")
+    return rejoin(list(vertical_split(orders, ["o_orderkey"], seed=42)), ["o_orderkey"]).select(*orders.columns)
+
+
+@query("vertical_split_named", "SELECT c_custkey, c_acctbal, c_mktsegment FROM customer")
+def q_vertical_split_named(spark: SparkSession, base: str) -> DataFrame:
+    """Split by named groups; the second group is returned."""
+    from lakemart.operators.project import split_by_groups
+    groups = [["c_custkey", "c_name", "c_nationkey"], ["c_custkey", "c_acctbal", "c_mktsegment"]]
+    return split_by_groups(_t(spark, base, "customer"), groups)[1]

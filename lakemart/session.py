@@ -87,3 +87,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def is_local_dir(path: str) -> bool:
     return os.path.isdir(local_path(path))
+
+
+def cut_lineage(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and return
+    its read-back. Use where one intermediate feeds several branches: every
+    branch then scans the written files instead of recomputing the inputs,
+    and a lost executor only re-reads files instead of replaying the lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -8,6 +8,7 @@ session has none (local tests).
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -97,3 +98,19 @@ def cut_lineage(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+@contextlib.contextmanager
+def scoped_conf(spark: SparkSession, settings: dict[str, str]):
+    """Set session settings for the duration of a block, then restore them."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -5,12 +5,18 @@ funnelling the data through one task (``repartition(1)``) or through one task pe
 day (``repartition(year, month, day)``): rebalancing clusters each day into few
 files but splits a day that is too large across several tasks, so a day holding
 a third of all rows does not become one straggler.
+
+Coalescing of small shuffle partitions is switched off for the duration of a
+partitioned write: every day hashes to one reducer whatever the reducer count,
+so coalescing cannot reduce the number of files, it only serialises the file
+writes of many small days into a few tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakemart.session import scoped_conf
 from lakemart.sources.files import PARTITION_COLUMNS
 
 
@@ -30,7 +36,8 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "append",
     writer = _rebalanced(df, list(columns)).write.mode(mode).partitionBy(*columns)
     if mode == "overwrite" and dynamic_overwrite:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    with scoped_conf(df.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        writer.parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

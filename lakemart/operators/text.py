@@ -4,7 +4,8 @@ Tokens are maximal runs of characters other than space, tab, newline, carriage
 return and form feed; case is kept. The whole text of every row is split (no
 prefix), exploded and counted; the count is a hash aggregate with a map-side
 partial step, so a very frequent word is combined inside each task before the
-shuffle.
+shuffle. Splitting text is the CPU-heavy step, so an input with fewer splits
+than the cluster has cores is spread out first.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.session import ensure_parallel
+
 # Fixed value: the separator set of the classic whitespace tokenizer
 # (space, tab, newline, carriage return, form feed).
 WHITESPACE = "[ \\t\\n\\r\\f]+"
@@ -19,7 +22,7 @@ WHITESPACE = "[ \\t\\n\\r\\f]+"
 
 def tokens(df: DataFrame, column: str) -> DataFrame:
     """One row per token in column ``word``."""
-    words = df.select(F.explode(F.split(F.col(column), WHITESPACE, -1)).alias("word"))
+    words = ensure_parallel(df.select(column)).select(F.explode(F.split(F.col(column), WHITESPACE, -1)).alias("word"))
     return words.filter(F.col("word") != "")
 
 

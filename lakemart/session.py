@@ -115,3 +115,19 @@ def scoped_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def ensure_parallel(df, min_partitions: int | None = None):
+    """Spread an under-partitioned input before CPU-heavy per-row work.
+
+    A single unsplittable input (one large row group, one gzip file) is read by
+    one task; when the frame has fewer partitions than the cluster's
+    parallelism it is redistributed round-robin. On inputs that already have at
+    least that many splits (any large table) this is a no-op.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan as is
+        return df
+    return df.repartition(want) if have < want else df

@@ -12,9 +12,9 @@ Scale notes
   value ranges, every range is ranked on its own and the counts of the ranges
   before it are added. Ties never straddle two ranges because equal keys always
   land in the same range partition.
-* ``with_global_mean`` computes the mean as a partial + final aggregate and
-  broadcasts the single resulting row, instead of ``avg() OVER ()`` which moves
-  every row into one partition.
+* ``with_global_mean`` computes the mean as a scalar subquery (partial +
+  final aggregate, run once, substituted as a value), instead of
+  ``avg() OVER ()`` which moves every row into one partition.
 * ``keep_one_per_key`` is ``row_number() = 1`` over a total order. Spark plans it
   with a partial group limit before the shuffle, so a hot key sends at most one
   row per map task across the network.
@@ -90,12 +90,12 @@ def with_global_mean(df: DataFrame, column: str, out: str, source: DataFrame | N
     """Add the mean of ``column`` over the whole frame to every row (nulls skipped).
 
     ``source`` (default ``df``) is the frame the mean is taken over; pass the
-    cheapest frame holding the same rows. The mean is one row (partial
-    aggregates per task, one final merge), so the broadcast has a proven size
-    of one row whatever the input size.
+    cheapest frame holding the same rows. The mean is a scalar subquery:
+    partial aggregates per task, one final merge of one row per task, and the
+    single value is then used by every row; no join, no window.
     """
-    mean = (source if source is not None else df).agg(F.avg(column).alias(out))
-    return df.crossJoin(F.broadcast(mean))
+    mean = (source if source is not None else df).select(F.avg(column))
+    return df.withColumn(out, mean.scalar())
 
 
 def sort_spec(spec: str) -> tuple[str, Column]:

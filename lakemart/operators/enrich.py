@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemart.functions.aggregate import mean
 from lakemart.session import shuffle_partitions
 
 
@@ -86,16 +87,18 @@ def rank_within(df: DataFrame, group: str, value: str, out: str = "rank",
     return df.join(ranks, cond, "inner").drop("_rg", "_rv")
 
 
-def with_global_mean(df: DataFrame, column: str, out: str, source: DataFrame | None = None) -> DataFrame:
+def with_global_mean(df: DataFrame, column: str, out: str, source: DataFrame | None = None,
+                     exact_scale: int | None = None) -> DataFrame:
     """Add the mean of ``column`` over the whole frame to every row (nulls skipped).
 
     ``source`` (default ``df``) is the frame the mean is taken over; pass the
     cheapest frame holding the same rows. The mean is a scalar subquery:
     partial aggregates per task, one final merge of one row per task, and the
     single value is then used by every row; no join, no window.
+    ``exact_scale`` sums in DECIMAL (see :func:`lakemart.functions.aggregate.mean`).
     """
-    mean = (source if source is not None else df).select(F.avg(column))
-    return df.withColumn(out, mean.scalar())
+    value = (source if source is not None else df).select(mean(column, exact_scale))
+    return df.withColumn(out, value.scalar())
 
 
 def sort_spec(spec: str) -> tuple[str, Column]:

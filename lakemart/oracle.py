@@ -2,7 +2,8 @@
 
 The fixture views are written once here and prefixed to every statement that
 needs them, so each oracle is one self-contained ANSI query over the driver's
-tables. Parity rules: means are rounded to 4 places on both sides, ranks and
+tables. Parity rules: money means come from an exact DECIMAL sum divided once
+in double (identical on both engines); other means are rounded to 4 places, ranks and
 date parts are INTEGER, counts BIGINT, ``||`` (null-propagating) instead of
 ``concat``, and title case is spelled out as split / capitalise / join.
 """
@@ -54,7 +55,7 @@ silver AS (
          CAST(day(last_purchase_date) AS INTEGER) AS day,
          average_order_value, lower(preferred_payment_method) AS preferred_payment_method,
          return_rate, rank_in_country, avg_global_income
-  FROM (SELECT *, avg(income_level) OVER () AS avg_global_income,
+  FROM (SELECT *, CAST(sum(CAST(income_level AS DECIMAL(18,2))) OVER () AS DOUBLE) / count(income_level) OVER () AS avg_global_income,
                row_number() OVER (PARTITION BY user_id
                                   ORDER BY last_purchase_date DESC NULLS LAST, rank_in_country,
                                            age NULLS FIRST, country NULLS FIRST, gender NULLS FIRST,

@@ -29,10 +29,15 @@ def returns(silver: DataFrame) -> DataFrame:
 
 
 def build_segmentation(spark: SparkSession, silver: DataFrame, database: str = "gold",
-                       table: str = "customer_segmentation", db_location: str | None = None) -> DataFrame:
+                       table: str = "customer_segmentation", db_location: str | None = None,
+                       table_location: str | None = None) -> DataFrame:
+    """Overwrite the segmentation table. With ``table_location`` it is an
+    external table at that path, so a re-run from a new session (or a catalog
+    that forgot the table) overwrites the files instead of failing on an
+    existing managed location."""
     ensure_database(spark, database, db_location)
     name = f"{database}.{table}"
-    save_table(segmentation(silver), name, mode="overwrite")
+    save_table(segmentation(silver), name, mode="overwrite", location=table_location)
     return spark.table(name)
 
 
@@ -53,8 +58,10 @@ def build_returns(spark: SparkSession, silver: DataFrame, out_path: str, databas
     return spark.read.parquet(out_path)
 
 
-def build_gold(spark: SparkSession, silver_path: str, returns_path: str,
-               database: str = "gold") -> tuple[DataFrame, DataFrame]:
+def build_gold(spark: SparkSession, silver_path: str, returns_path: str, database: str = "gold",
+               db_location: str | None = None,
+               segmentation_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     silver = spark.read.parquet(silver_path)
-    return (build_segmentation(spark, silver, database),
+    return (build_segmentation(spark, silver, database, db_location=db_location,
+                               table_location=segmentation_path),
             build_returns(spark, silver, returns_path, database))

@@ -29,8 +29,21 @@ def serve_page(spark: SparkSession, mart_path: str, page_no: int = 1,
     return summary, items
 
 
-def age_report(mart: DataFrame) -> dict[str, DataFrame]:
-    means = age_bucket_means(mart, ["income_level", "return_rate"])
+def page_response(spark: SparkSession, mart_path: str, page_no: int = 1,
+                  page_size: int = PAGE_SIZE_DEFAULT, key: str = "user_id") -> dict:
+    """The API answer: ``{"page", "page_size", "total", "items": [row dicts]}``.
+
+    Only the summary row and at most ``page_size`` (<= 200) item rows are
+    collected to the driver.
+    """
+    summary, items = serve_page(spark, mart_path, page_no, page_size, key)
+    head = summary.first()
+    return {"page": head["page"], "page_size": head["page_size"], "total": head["total"],
+            "items": [r.asDict() for r in items.collect()]}
+
+
+def age_report(mart: DataFrame, exact_scales: dict[str, int] | None = None) -> dict[str, DataFrame]:
+    means = age_bucket_means(mart, ["income_level", "return_rate"], exact_scales=exact_scales)
     return {
         "age_histogram": age_histogram(mart),
         "income_by_age_bucket": means.select("age_bucket", "mean_income_level"),

@@ -49,23 +49,27 @@ def ranked_rows(info: DataFrame, activity: DataFrame, key: str = "user_id",
 
 def silver_transform(info: DataFrame, activity: DataFrame, key: str = "user_id",
                      rules: list[Rule] | None = None, rank_method: str = "ranged",
-                     materialize: bool = True) -> DataFrame:
+                     materialize: bool = True, income_scale: int | None = None) -> DataFrame:
+    """``income_scale``: decimals of the income column (2 for money) to take
+    its global mean from an exact sum; None averages the doubles as they are."""
     valid, ranked = ranked_rows(info, activity, key, rules, rank_method, materialize)
-    with_mean = with_global_mean(ranked, "income_level", "avg_global_income", source=valid)
+    with_mean = with_global_mean(ranked, "income_level", "avg_global_income", source=valid,
+                                 exact_scale=income_scale)
     one = keep_one_per_key(with_mean, key, DEDUP_ORDER)
     return (one.withColumn("preferred_payment_method", lower_text("preferred_payment_method"))
                .withColumn("country", title_case("country")))
 
 
 def build_silver(spark: SparkSession, info_path: str, activity_path: str, out_path: str,
-                 key: str = "user_id", rank_method: str = "ranged") -> DataFrame:
+                 key: str = "user_id", rank_method: str = "ranged",
+                 income_scale: int | None = None) -> DataFrame:
     """Read both bronze datasets, transform, overwrite the silver dataset
     (partitioned by the date columns when present) and return its read-back."""
     for p in (info_path, activity_path):
         if local_path(p).rstrip("/") == local_path(out_path).rstrip("/"):
             raise ValueError("silver output must not overwrite one of its inputs")
     silver = silver_transform(read_parquet(spark, info_path), read_parquet(spark, activity_path),
-                              key=key, rank_method=rank_method)
+                              key=key, rank_method=rank_method, income_scale=income_scale)
     parts = [c for c in PARTITION_COLUMNS if c in silver.columns]
     if parts:
         write_partitioned(silver, out_path, mode="overwrite", columns=parts)

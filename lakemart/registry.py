@@ -47,21 +47,21 @@ SILVER_COLUMNS = ["user_id", "age", "country", "gender", "income_level", "last_p
 
 def silver_frame(spark: SparkSession, base: str, rank_method: str = "ranged") -> DataFrame:
     info, act = fx.shopper_feeds(spark, base)
-    out = sv.silver_transform(sv.with_date_parts(info), act, rank_method=rank_method)
+    out = sv.silver_transform(sv.with_date_parts(info), act, rank_method=rank_method, income_scale=2)
     return out.select(*SILVER_COLUMNS)
 
 
 @query("silver", with_fixtures("SELECT user_id, age, country, gender, income_level, last_purchase_date, "
                                "year, month, day, average_order_value, preferred_payment_method, return_rate, "
-                               "rank_in_country, round(avg_global_income, 4) AS avg_global_income FROM silver"))
+                               "rank_in_country, avg_global_income FROM silver"))
 def q_silver(spark: SparkSession, base: str) -> DataFrame:
-    return round4(silver_frame(spark, base), "avg_global_income")
+    return silver_frame(spark, base)
 
 
 @query("silver_window_rank", ORACLE["silver"])
 def q_silver_window_rank(spark: SparkSession, base: str) -> DataFrame:
     """The same silver build with Spark's one-task-per-country rank."""
-    return round4(silver_frame(spark, base, rank_method="window"), "avg_global_income")
+    return silver_frame(spark, base, rank_method="window")
 
 
 # ------------------------------------------------------- silver steps (J1, F*, W1, A1, A7, X5-X6)
@@ -115,13 +115,13 @@ def q_rank_in_country_window(spark: SparkSession, base: str) -> DataFrame:
 
 
 @query("avg_global", with_fixtures(
-    "SELECT user_id, income_level, round(avg(income_level) OVER (), 4) AS avg_global_income FROM valid"))
+    "SELECT user_id, income_level, CAST(sum(CAST(income_level AS DECIMAL(18,2))) OVER () AS DOUBLE) / count(income_level) OVER () AS avg_global_income FROM valid"))
 def q_avg_global(spark: SparkSession, base: str) -> DataFrame:
     from lakemart.operators.enrich import with_global_mean
     from lakemart.operators.rules import validate
     info, act = fx.shopper_feeds(spark, base)
     valid = validate(sv.join_feeds(info, act)).select("user_id", "income_level")
-    return round4(with_global_mean(valid, "income_level", "avg_global_income"), "avg_global_income")
+    return with_global_mean(valid, "income_level", "avg_global_income", exact_scale=2)
 
 
 @query("dedup_user", """
@@ -397,7 +397,7 @@ def q_bronze_dates(spark: SparkSession, base: str) -> DataFrame:
 
 SILVER_SELECT = ("SELECT user_id, age, country, gender, income_level, last_purchase_date, year, month, day, "
                  "average_order_value, preferred_payment_method, return_rate, rank_in_country, "
-                 "round(avg_global_income, 4) AS avg_global_income FROM silver")
+                 "avg_global_income FROM silver")
 
 
 @query("silver_roundtrip", with_fixtures(SILVER_SELECT))
@@ -407,7 +407,7 @@ def q_silver_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     from lakemart.sources.sinks import write_partitioned
     path = scratch_path(spark, "silver")
     write_partitioned(silver_frame(spark, base), path, mode="overwrite")
-    return round4(spark.read.parquet(path), "avg_global_income")
+    return spark.read.parquet(path)
 
 
 @query("medallion_files", with_fixtures(SILVER_SELECT))
@@ -434,8 +434,8 @@ def q_medallion_files(spark: SparkSession, base: str) -> DataFrame:
     bronze1, bronze2 = scratch_path(spark, "bronze-user_info1"), scratch_path(spark, "bronze-user_info2")
     load_bronze(spark, feeds["user_info1"], bronze1, schema=info_schema)
     load_bronze(spark, feeds["user_info2"], bronze2, schema=act_schema)
-    silver = sv.build_silver(spark, bronze1, bronze2, scratch_path(spark, "silver-files"))
-    return round4(silver.select(*SILVER_COLUMNS), "avg_global_income")
+    silver = sv.build_silver(spark, bronze1, bronze2, scratch_path(spark, "silver-files"), income_scale=2)
+    return silver.select(*SILVER_COLUMNS)
 
 
 @query("mart_segmentation", with_fixtures("SELECT user_id, gender, country, rank_in_country FROM silver"))
@@ -443,7 +443,8 @@ def q_mart_segmentation(spark: SparkSession, base: str) -> DataFrame:
     from lakemart.plans.gold import build_segmentation
     from lakemart.session import scratch_path
     return build_segmentation(spark, silver_frame(spark, base), database="gold",
-                              db_location=scratch_path(spark, "gold-db"))
+                              db_location=scratch_path(spark, "gold-db"),
+                              table_location=scratch_path(spark, "customer_segmentation"))
 
 
 @query("mart_returns", with_fixtures(
@@ -517,10 +518,13 @@ AGE_BUCKET_SQL = ("SELECT CAST(floor(age / 10) * 10 AS INTEGER) AS age_bucket, r
                   "FROM silver WHERE age IS NOT NULL GROUP BY 1 ORDER BY 1")
 
 
-@query("income_by_age_bucket", with_fixtures(AGE_BUCKET_SQL.format(c="income_level")))
+@query("income_by_age_bucket", with_fixtures(
+    "SELECT CAST(floor(age / 10) * 10 AS INTEGER) AS age_bucket, "
+    "CAST(sum(CAST(income_level AS DECIMAL(18,2))) AS DOUBLE) / count(income_level) AS mean_income_level "
+    "FROM silver WHERE age IS NOT NULL GROUP BY 1 ORDER BY 1"))
 def q_income_by_age_bucket(spark: SparkSession, base: str) -> DataFrame:
     from lakemart.plans.serve import age_report
-    return round4(age_report(returns_frame(spark, base))["income_by_age_bucket"], "mean_income_level")
+    return age_report(returns_frame(spark, base), {"income_level": 2})["income_by_age_bucket"]
 
 
 @query("return_rate_by_age_bucket", with_fixtures(AGE_BUCKET_SQL.format(c="return_rate")))

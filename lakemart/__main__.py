@@ -25,12 +25,16 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--source", action="append", required=True, help="name=path, repeatable")
     b.add_argument("--out", required=True, help="bronze root; one dataset per source name")
     b.add_argument("--date-column", default="last_purchase_date")
+    b.add_argument("--schema", default=None,
+                   help="DDL of the feed columns (skips the type-inference pass over the data)")
     s = sub.add_parser("silver", help="join, validate, rank, mean, dedup, normalise")
     s.add_argument("--info", required=True)
     s.add_argument("--activity", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--key", default="user_id")
     s.add_argument("--rank-method", choices=["ranged", "window"], default="ranged")
+    s.add_argument("--start", default=None, help="first bronze day to read (yyyy-MM-dd)")
+    s.add_argument("--end", default=None, help="last bronze day to read (yyyy-MM-dd)")
     s.add_argument("--income-scale", type=int, default=None,
                    help="decimals of income_level; takes the global mean from an exact sum")
     g = sub.add_parser("gold", help="segmentation table + returns Parquet mart")
@@ -59,11 +63,11 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "bronze":
         from lakemart.plans.bronze import load_feeds
         sources = dict(item.split("=", 1) for item in args.source)
-        print(json.dumps(load_feeds(spark, sources, args.out, args.date_column)))
+        print(json.dumps(load_feeds(spark, sources, args.out, args.date_column, args.schema)))
     elif args.job == "silver":
         from lakemart.plans.silver import build_silver
         build_silver(spark, args.info, args.activity, args.out, key=args.key, rank_method=args.rank_method,
-                     income_scale=args.income_scale)
+                     income_scale=args.income_scale, start=args.start, end=args.end)
     elif args.job == "gold":
         from lakemart.plans.gold import build_gold
         build_gold(spark, args.silver, args.returns, args.database,

@@ -37,11 +37,12 @@ def load_bronze(spark: SparkSession, source: str, out_path: str, date_col: str =
 
 
 def load_feeds(spark: SparkSession, sources: dict[str, str], out_root: str,
-               date_col: str = "last_purchase_date") -> dict[str, str]:
+               date_col: str = "last_purchase_date",
+               schema: StructType | str | None = None) -> dict[str, str]:
     """Load several named feeds; returns table name -> bronze path."""
     out = {}
     for name, path in sources.items():
         target = f"{out_root.rstrip('/')}/{name}"
-        load_bronze(spark, path, target, date_col)
+        load_bronze(spark, path, target, date_col, schema=schema)
         out[name] = target
     return out

@@ -15,7 +15,7 @@ from lakemart.functions.scalar import lower_text, title_case
 from lakemart.operators.enrich import join_on_key, keep_one_per_key, rank_within, with_global_mean
 from lakemart.operators.rules import Rule, shopper_rules, validate
 from lakemart.session import cut_lineage, local_path
-from lakemart.sources.files import PARTITION_COLUMNS, read_parquet
+from lakemart.sources.files import PARTITION_COLUMNS, date_range, read_parquet
 from lakemart.sources.sinks import write_partitioned
 
 # Columns of the second feed that the first feed already carries.
@@ -62,13 +62,21 @@ def silver_transform(info: DataFrame, activity: DataFrame, key: str = "user_id",
 
 def build_silver(spark: SparkSession, info_path: str, activity_path: str, out_path: str,
                  key: str = "user_id", rank_method: str = "ranged",
-                 income_scale: int | None = None) -> DataFrame:
+                 income_scale: int | None = None, start: str | None = None,
+                 end: str | None = None) -> DataFrame:
     """Read both bronze datasets, transform, overwrite the silver dataset
-    (partitioned by the date columns when present) and return its read-back."""
+    (partitioned by the date columns when present) and return its read-back.
+
+    ``start`` / ``end`` (``yyyy-MM-dd``, inclusive) restrict the bronze days
+    read; the condition is on the partition columns, so only those day
+    directories are listed and scanned.
+    """
     for p in (info_path, activity_path):
         if local_path(p).rstrip("/") == local_path(out_path).rstrip("/"):
             raise ValueError("silver output must not overwrite one of its inputs")
-    silver = silver_transform(read_parquet(spark, info_path), read_parquet(spark, activity_path),
+    where = date_range(start, end) if (start or end) else None
+    silver = silver_transform(read_parquet(spark, info_path, where=where),
+                              read_parquet(spark, activity_path, where=where),
                               key=key, rank_method=rank_method, income_scale=income_scale)
     parts = [c for c in PARTITION_COLUMNS if c in silver.columns]
     if parts:

@@ -60,3 +60,15 @@ def test_rank_has_no_single_partition_exchange(spark):
     p = plan(ranked)
     assert "rangepartitioning" in p
     assert "SinglePartition" not in p
+
+
+def test_bronze_day_range_prunes_partitions(spark, tmp_path):
+    from lakemart.sources.files import date_range, read_parquet
+    from lakemart.sources.sinks import write_partitioned
+    rows = [(i, 2024, 1, 1 + i % 10) for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, year int, month int, day int")
+    out = str(tmp_path / "bronze")
+    write_partitioned(df, out, mode="overwrite")
+    picked = read_parquet(spark, out, where=date_range("2024-01-03", "2024-01-04"))
+    assert picked.count() == 20
+    assert "PartitionFilters: [isnotnull(year" in plan(picked)

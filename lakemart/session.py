@@ -122,12 +122,17 @@ def ensure_parallel(df, min_partitions: int | None = None):
 
     A single unsplittable input (one large row group, one gzip file) is read by
     one task; when the frame has fewer partitions than the cluster's
-    parallelism it is redistributed round-robin. On inputs that already have at
-    least that many splits (any large table) this is a no-op.
+    parallelism it is redistributed round-robin (deterministic on retry: Spark
+    sorts before a round-robin repartition). Meant for frames that are a scan
+    plus projections: with at least as many input files as cores (any large
+    table) it returns at once without planning anything; otherwise it counts
+    the scan's partitions, which on a bare scan runs no job.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     try:
+        if len(df.inputFiles()) >= want:
+            return df
         have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the plan as is
+    except Exception:  # no file list or RDD view (e.g. a remote session): leave the plan as is
         return df
     return df.repartition(want) if have < want else df

@@ -69,7 +69,8 @@ def page_summary(df: DataFrame, page_no: int, page_size: int = PAGE_SIZE_DEFAULT
 def number_rows(df: DataFrame, key: str | list[str], out: str = "row_no") -> DataFrame:
     """Add a dense 1-based ``row_no`` in key order, without a global window.
 
-    Rows are range-partitioned on the key and sorted inside each range; a row's
+    Rows are range-partitioned on the key (then the remaining columns, so equal
+    keys may span ranges) and sorted inside each range; a row's
     number is the row count of all earlier ranges plus its position in its own
     range. The per-range counts are one row per partition (a bounded broadcast).
     Ties on the key are ordered by the remaining columns so numbering is stable
@@ -79,7 +80,9 @@ def number_rows(df: DataFrame, key: str | list[str], out: str = "row_no") -> Dat
     nparts = shuffle_partitions(df.sparkSession)
     order = [F.col(k).asc_nulls_first() for k in keys] + \
             [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
-    ranged = (df.repartitionByRange(nparts, *[F.col(k).asc_nulls_first() for k in keys])
+    # ranges cut the total order, not just the key: a key held by a third of
+    # the rows is spread over several ranges instead of filling one task
+    ranged = (df.repartitionByRange(nparts, *order)
                 .sortWithinPartitions(*order)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()))

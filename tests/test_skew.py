@@ -43,3 +43,18 @@ def test_hot_word_is_combined_before_the_shuffle(spark):
     plan = wc._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
     assert {r["word"]: r["n"] for r in wc.collect()}["the"] == 100000
+
+
+def test_hot_key_is_spread_over_row_number_ranges(spark):
+    from pyspark.sql import Window
+
+    from lakemart.operators.paging import number_rows
+    # one key holds 90% of the rows; the rest are unique keys
+    rows = [(7, i) for i in range(9000)] + [(100 + i, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k long, v long")
+    numbered = number_rows(df, "k")
+    spread = (numbered.filter("k = 7").withColumn("_p", F.spark_partition_id())
+                      .groupBy("_p").count().collect())
+    assert len(spread) > 1                          # the hot key spans several tasks
+    want = df.withColumn("row_no", F.row_number().over(Window.orderBy("k", "v")))
+    assert numbered.exceptAll(want).count() == 0 and want.exceptAll(numbered).count() == 0

@@ -58,8 +58,19 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    from lakemart.session import build_session
+    from lakemart.session import build_session, scoped_conf, size_for_input
     spark = build_session(app_name=f"lakemart-{args.job}")
+    inputs = {"bronze": lambda: [i.split("=", 1)[1] for i in args.source],
+              "silver": lambda: [args.info, args.activity], "gold": lambda: [args.silver],
+              "report": lambda: [args.mart], "wordcount": lambda: [args.input]}
+    # scan and shuffle sizes from the input size (settings given at submit win)
+    sizing = size_for_input(spark, inputs[args.job]()) if args.job in inputs else {}
+    with scoped_conf(spark, sizing):
+        _run(spark, args)
+    return 0
+
+
+def _run(spark, args) -> None:
     if args.job == "bronze":
         from lakemart.plans.bronze import load_feeds
         sources = dict(item.split("=", 1) for item in args.source)
@@ -83,7 +94,6 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "wordcount":
         from lakemart.plans.wordcount import run_word_count
         run_word_count(spark, args.input, args.output)
-    return 0
 
 
 if __name__ == "__main__":

@@ -136,3 +136,61 @@ def ensure_parallel(df, min_partitions: int | None = None):
     except Exception:  # no file list or RDD view (e.g. a remote session): leave the plan as is
         return df
     return df.repartition(want) if have < want else df
+
+
+MB = 1 << 20
+
+
+def sized_conf(input_bytes: int, cores: int, scan_split_bytes: int = 256 * MB,
+               shuffle_bytes: int = 256 * MB, max_shuffle_partitions: int = 20000) -> dict[str, str]:
+    """Scan and shuffle sizing for a job reading ``input_bytes`` on ``cores`` cores.
+
+    * Scan splits: ``scan_split_bytes``, raised (up to 1 GiB) when the input
+      would otherwise need more than ~8 waves of tasks, so a 100 TB scan on a
+      few thousand cores stays at tens of thousands of tasks.
+    * Shuffle: the initial partition count gives about ``shuffle_bytes`` per
+      partition if the whole input were shuffled, at least two per core, at
+      most ``max_shuffle_partitions`` (map x reduce block count). AQE then
+      merges small partitions up to the advisory size (``parallelismFirst``
+      off, so the size target wins over spreading tiny partitions) and splits
+      skewed ones.
+    """
+    cores = max(1, cores)
+    split = scan_split_bytes
+    while split < 1024 * MB and input_bytes / split > 8 * cores:
+        split *= 2
+    partitions = min(max_shuffle_partitions, max(2 * cores, -(-input_bytes // shuffle_bytes)))
+    partitions = -(-partitions // cores) * cores  # whole waves
+    if partitions > max_shuffle_partitions:
+        partitions = max(cores, max_shuffle_partitions // cores * cores)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of files under ``paths`` (one file-system metadata call each)."""
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        jpath = jvm.org.apache.hadoop.fs.Path(p)
+        total += jpath.getFileSystem(hconf).getContentSummary(jpath).getLength()
+    return total
+
+
+def size_for_input(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """:func:`sized_conf` for the inputs of a job, without the settings the
+    submit configuration names explicitly (those stay as submitted). Apply the
+    result with :func:`scoped_conf` around the job."""
+    try:
+        nbytes = input_bytes(spark, paths)
+    except Exception:  # no JVM view or unreadable path: keep the cluster defaults
+        return {}
+    submitted = spark.sparkContext.getConf()
+    return {k: v for k, v in sized_conf(nbytes, spark.sparkContext.defaultParallelism).items()
+            if not submitted.contains(k)}

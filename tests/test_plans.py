@@ -72,3 +72,19 @@ def test_bronze_day_range_prunes_partitions(spark, tmp_path):
     picked = read_parquet(spark, out, where=date_range("2024-01-03", "2024-01-04"))
     assert picked.count() == 20
     assert "PartitionFilters: [isnotnull(year" in plan(picked)
+
+
+def test_sizing_scales_with_input_and_keeps_submitted_settings(spark, tmp_path):
+    from lakemart.session import size_for_input, sized_conf
+    small = sized_conf(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert small["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    big = sized_conf(100 << 40, 8000)     # 100 TB on 8,000 cores
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 1 << 30
+    assert int(big["spark.sql.shuffle.partitions"]) <= 20000
+    assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
+    # the test session was built with shuffle partitions set, so that one stays
+    spark.range(100).write.parquet(str(tmp_path / "in"))
+    sizing = size_for_input(spark, [str(tmp_path / "in")])
+    assert "spark.sql.shuffle.partitions" not in sizing
+    assert sizing["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.functions.aggregate import mean
-from lakemart.session import shuffle_partitions
+from lakemart.session import shared_branch, shuffle_partitions
 
 
 def join_on_key(left: DataFrame, right: DataFrame, key: str | list[str],
@@ -68,8 +68,8 @@ def rank_within(df: DataFrame, group: str, value: str, out: str = "rank",
     # 1. distinct (group, value) with multiplicity: partial aggregation first
     pairs = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
     # 2. cut the ordered pairs into contiguous ranges; the range id is the block
-    ranged = (pairs.repartitionByRange(nblocks, F.col(group).asc_nulls_first(), order)
-              .withColumn("_blk", F.spark_partition_id()))
+    ranged = shared_branch(pairs.repartitionByRange(nblocks, F.col(group).asc_nulls_first(), order)
+                                .withColumn("_blk", F.spark_partition_id()), "rank-blocks")
     # 3. rows of the same group in earlier blocks (tiny table: <= blocks + groups rows)
     per_block = ranged.groupBy(group, "_blk").agg(F.sum("_n").alias("_blk_n"))
     before_blocks = Window.partitionBy(group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.session import shuffle_partitions
+from lakemart.session import shared_branch, shuffle_partitions
 
 PAGE_SIZE_DEFAULT = 50
 PAGE_SIZE_MAX = 200
@@ -87,7 +87,8 @@ def number_rows(df: DataFrame, key: str | list[str], out: str = "row_no") -> Dat
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()))
     # position inside the partition: the id is (partition << 33) + position
-    ranged = ranged.withColumn("_pos", F.col("_pos") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+    ranged = shared_branch(
+        ranged.withColumn("_pos", F.col("_pos") - F.shiftleft(F.col("_pid").cast("bigint"), 33)), "row-ranges")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         F.col("_pid").alias("_opid"),

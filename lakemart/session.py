@@ -101,6 +101,20 @@ def cut_lineage(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
+def shared_branch(df, name: str):
+    """A frame that two branches of one plan must see identically.
+
+    Range partitioning samples its bounds when the exchange is built, so a
+    frame whose partition ids are used in two branches (block counts joined
+    back to the blocks) is only consistent if both branches run the same
+    exchange. Spark reuses it when ``spark.sql.exchange.reuse`` is on (the
+    default); with reuse off the frame is written once and both branches read
+    the files."""
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "true":
+        return df
+    return cut_lineage(df, name)
+
+
 @contextlib.contextmanager
 def scoped_conf(spark: SparkSession, settings: dict[str, str]):
     """Set session settings for the duration of a block, then restore them."""

@@ -58,3 +58,17 @@ def test_hot_key_is_spread_over_row_number_ranges(spark):
     assert len(spread) > 1                          # the hot key spans several tasks
     want = df.withColumn("row_no", F.row_number().over(Window.orderBy("k", "v")))
     assert numbered.exceptAll(want).count() == 0 and want.exceptAll(numbered).count() == 0
+
+
+def test_range_blocks_stay_consistent_without_exchange_reuse(spark):
+    from pyspark.sql import Window
+
+    from lakemart.operators.paging import number_rows
+    rows = [("hot", float(i % 3000)) for i in range(9000)] + [(f"c{i % 9}", float(i)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "country string, v double")
+    want = df.withColumn("r", F.rank().over(Window.partitionBy("country").orderBy(F.col("v").desc())))
+    with scoped_conf(spark, {"spark.sql.exchange.reuse": "false"}):
+        ranked = rank_within(df, "country", "v", "r", method="ranged", blocks=16)
+        assert ranked.exceptAll(want).count() == 0 and want.exceptAll(ranked).count() == 0
+        numbered = number_rows(df, "country")
+        assert sorted(r["row_no"] for r in numbered.collect()) == list(range(1, 10001))

@@ -72,3 +72,20 @@ def test_range_blocks_stay_consistent_without_exchange_reuse(spark):
         assert ranked.exceptAll(want).count() == 0 and want.exceptAll(ranked).count() == 0
         numbered = number_rows(df, "country")
         assert sorted(r["row_no"] for r in numbered.collect()) == list(range(1, 10001))
+
+
+def test_hot_join_key_is_split_by_adaptive_skew_join(spark):
+    from lakemart.operators.enrich import join_on_key
+    left = spark.createDataFrame([(1, i) for i in range(20000)] + [(k, k) for k in range(2, 2000)],
+                                 "user_id long, a long").repartition(8)
+    right = spark.createDataFrame([(k, k * 10) for k in range(1, 2000)], "user_id long, b long")
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+                             "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        joined = join_on_key(left, right, "user_id")
+        rows = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert len(rows) == 21998
+    assert {r["b"] for r in rows if r["user_id"] == 1} == {10}
+    assert "skew=true" in plan

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.session import ensure_parallel
+from lakemart.session import cut_lineage, ensure_parallel
 from lakemart.sources.files import read_table_file
 
 
@@ -87,7 +87,17 @@ def activity(spark: SparkSession, base: str, per_customer: DataFrame | None = No
         "preferred_payment_method", "return_rate")
 
 
+def shared_customer_orders(spark: SparkSession, base: str) -> DataFrame:
+    """:func:`customer_orders` written once to the shared checkpoint folder.
+
+    Both feeds read it, but each keeps different columns, so column pruning
+    would turn one aggregate into two different plans (two scans of orders,
+    two shuffles) that exchange reuse cannot merge. Written once, the orders
+    work is done once and both feeds scan a customer-sized table."""
+    return cut_lineage(customer_orders(spark, base), "per-customer")
+
+
 def shopper_feeds(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     """(profile, activity) sharing one per-customer aggregate."""
-    pc = customer_orders(spark, base)
+    pc = shared_customer_orders(spark, base)
     return profile(spark, base, pc), activity(spark, base, pc)

@@ -94,7 +94,7 @@ WHERE age > 0 AND age < 120 AND user_id IS NOT NULL AND income_level >= 0 AND co
   AND contains(email, '@')"""))
 def q_validate_email(spark: SparkSession, base: str) -> DataFrame:
     from lakemart.operators.rules import validate
-    pc = fx.customer_orders(spark, base)
+    pc = fx.shared_customer_orders(spark, base)
     info = fx.profile(spark, base, pc, with_email=True)
     return validate(sv.join_feeds(info, fx.activity(spark, base, pc)))
 
@@ -417,7 +417,7 @@ def q_medallion_files(spark: SparkSession, base: str) -> DataFrame:
     from lakemart.plans.bronze import load_bronze
     from lakemart.session import scratch_path
     from lakemart.sources.sinks import write_csv
-    pc = fx.customer_orders(spark, base)
+    pc = fx.shared_customer_orders(spark, base)
     info = fx.profile(spark, base, pc)
     act = fx.activity(spark, base, pc).join(
         pc.select(F.col("o_custkey").alias("user_id"), F.col("last_order").cast("date").alias("last_purchase_date")),

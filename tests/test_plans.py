@@ -88,3 +88,14 @@ def test_sizing_scales_with_input_and_keeps_submitted_settings(spark, tmp_path):
     sizing = size_for_input(spark, [str(tmp_path / "in")])
     assert "spark.sql.shuffle.partitions" not in sizing
     assert sizing["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+
+
+def test_feeds_share_one_per_customer_aggregate(spark):
+    from lakemart.plans import fixtures as fx
+    from lakemart.plans.silver import join_feeds
+    info, act = fx.shopper_feeds(spark, SF_SMALL)
+    p = plan(join_feeds(info, act))
+    # orders work happened once, in the write of the per-customer table;
+    # both feeds scan that table instead of aggregating orders again
+    assert "orders.parquet" not in p
+    assert p.count("per-customer") >= 2

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.session import cut_lineage, ensure_parallel
+from lakemart.session import cut_lineage, ensure_parallel, input_bytes
 from lakemart.sources.files import read_table_file
 
 
@@ -87,17 +87,31 @@ def activity(spark: SparkSession, base: str, per_customer: DataFrame | None = No
         "preferred_payment_method", "return_rate")
 
 
-def shared_customer_orders(spark: SparkSession, base: str) -> DataFrame:
-    """:func:`customer_orders` written once to the shared checkpoint folder.
+# Above this much orders input the per-customer aggregate is written once.
+WRITE_ONCE_BYTES = 256 << 20
 
-    Both feeds read it, but each keeps different columns, so column pruning
-    would turn one aggregate into two different plans (two scans of orders,
-    two shuffles) that exchange reuse cannot merge. Written once, the orders
-    work is done once and both feeds scan a customer-sized table."""
-    return cut_lineage(customer_orders(spark, base), "per-customer")
 
+def shared_customer_orders(spark: SparkSession, base: str,
+                           write_once_bytes: int = WRITE_ONCE_BYTES) -> DataFrame:
+    """:func:`customer_orders` for use by both feeds.
 
-def shopper_feeds(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    Each feed keeps different columns of it, so column pruning turns the one
+    aggregate into two different plans (two scans of orders, two shuffles)
+    that exchange reuse cannot merge. When the orders input is at least
+    ``write_once_bytes`` (one file-system metadata call) the aggregate is
+    written once to the shared checkpoint folder and both feeds scan that
+    customer-sized table; below it the second small aggregate is cheaper than
+    a write."""
+    pc = customer_orders(spark, base)
+    try:
+        nbytes = input_bytes(spark, [f"{base.rstrip('/')}/orders.parquet"])
+    except Exception:  # size unknown: take the path that is safe at any size
+        nbytes = write_once_bytes
+    return cut_lineage(pc, "per-customer") if nbytes >= write_once_bytes else pc
+
+
+def shopper_feeds(spark: SparkSession, base: str,
+                  write_once_bytes: int = WRITE_ONCE_BYTES) -> tuple[DataFrame, DataFrame]:
     """(profile, activity) sharing one per-customer aggregate."""
-    pc = shared_customer_orders(spark, base)
+    pc = shared_customer_orders(spark, base, write_once_bytes)
     return profile(spark, base, pc), activity(spark, base, pc)

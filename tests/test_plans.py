@@ -93,9 +93,11 @@ def test_sizing_scales_with_input_and_keeps_submitted_settings(spark, tmp_path):
 def test_feeds_share_one_per_customer_aggregate(spark):
     from lakemart.plans import fixtures as fx
     from lakemart.plans.silver import join_feeds
-    info, act = fx.shopper_feeds(spark, SF_SMALL)
+    small = plan(join_feeds(*fx.shopper_feeds(spark, SF_SMALL)))
+    assert "orders.parquet" in small            # a small orders input is aggregated in place
+    info, act = fx.shopper_feeds(spark, SF_SMALL, write_once_bytes=0)
     p = plan(join_feeds(info, act))
-    # orders work happened once, in the write of the per-customer table;
+    # large input: orders work happened once, in the write of the per-customer table;
     # both feeds scan that table instead of aggregating orders again
     assert "orders.parquet" not in p
     assert p.count("per-customer") >= 2

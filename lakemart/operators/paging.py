@@ -66,6 +66,22 @@ def page_summary(df: DataFrame, page_no: int, page_size: int = PAGE_SIZE_DEFAULT
     )
 
 
+def past_end_summary(df: DataFrame, page_size: int = PAGE_SIZE_DEFAULT, beyond: int = 2) -> DataFrame:
+    """:func:`page_summary` for page ``total // page_size + beyond``, a page past
+    the last one (no items, the true total). The page number comes from the
+    same aggregate as the total, so the input is read once."""
+    check_page(1, page_size)
+    total = F.count(F.lit(1))
+    page_no = F.floor(total / F.lit(page_size)) + F.lit(beyond)
+    return df.agg(
+        page_no.cast("int").alias("page"),
+        F.lit(page_size).cast("int").alias("page_size"),
+        total.alias("total"),
+        F.greatest(F.lit(0), F.least(F.lit(page_size), total - (page_no - 1) * F.lit(page_size)))
+         .cast("bigint").alias("n_items"),
+    )
+
+
 def number_rows(df: DataFrame, key: str | list[str], out: str = "row_no") -> DataFrame:
     """Add a dense 1-based ``row_no`` in key order, without a global window.
 

@@ -501,10 +501,8 @@ def q_page_total(spark: SparkSession, base: str) -> DataFrame:
     "FROM (SELECT count(*) AS total FROM silver) t"))
 def q_page_past_end(spark: SparkSession, base: str) -> DataFrame:
     """A page two past the last one: no items, the true total."""
-    from lakemart.operators.paging import page_summary, row_count
-    mart = returns_frame(spark, base)
-    total = row_count(mart).first()["total"]
-    return page_summary(mart, int(total // 50 + 2), 50)
+    from lakemart.operators.paging import past_end_summary
+    return past_end_summary(returns_frame(spark, base), 50, beyond=2)
 
 
 @query("age_histogram", with_fixtures(

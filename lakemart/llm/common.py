@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +17,31 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str | None] = {}
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application (what
+    ``--py-files`` does at submit): they may not have it on their path."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        import lakemart
+        home = os.path.dirname(os.path.dirname(os.path.abspath(lakemart.__file__)))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "lakemart"), "zip", home, "lakemart")
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
 def llm_query(name: str, oracle: str | None = None):
     """Register ``fn(spark, sf_dir)`` under ``name``."""
     def register(fn):
-        LLM_QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        LLM_QUERIES[name] = run
         LLM_ORACLE[name] = oracle
-        return fn
+        return run
     return register
 
 

@@ -1,6 +1,6 @@
 """All registered queries of the training-data operators and their SQL."""
 
-from lakemart.llm import minhash, mixing, packing, sharding, transducer  # noqa: F401
+from lakemart.llm import hmm, minhash, mixing, packing, quality, sharding, toxicity, transducer  # noqa: F401
 from lakemart.llm.common import LLM_ORACLE, LLM_QUERIES
 
 __all__ = ["LLM_ORACLE", "LLM_QUERIES"]

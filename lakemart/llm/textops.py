@@ -1,10 +1,10 @@
 """Vectorised text helpers that run inside Spark tasks on Arrow batches.
 
-Words are runs of bytes other than space and ``\\t \\n \\v \\f \\r``; A-Z is lowered
-when asked. A word's 64-bit hash is a polynomial over its bytes, scrambled; a
-shingle's hash combines the hashes of its words. Work goes in chunks of whole
-texts, of about ``CHUNK_BYTES`` bytes, so memory per task stays small whatever the
-batch holds (one longer text is one chunk).
+Words are runs of bytes other than space and ``\\t \\n \\v \\f \\r``, with A-Z lowered.
+A word's 64-bit hash is a polynomial over its bytes, scrambled; a shingle's hash
+combines the hashes of its words. Work goes in chunks of whole texts, of about
+``CHUNK_BYTES`` bytes, so memory per task stays small whatever the batch holds (one
+longer text is one chunk).
 """
 
 from __future__ import annotations
@@ -101,14 +101,19 @@ def text_chunks(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Ch
         lo = hi
 
 
-def find_words(chunk: Chunk, lower: bool = True) -> Words:
-    """The words of each text of a chunk with their hashes."""
-    data = _LOWER[chunk.data] if lower else chunk.data
+#: What parts runs of letters (of any script; bytes over 127 count as letters).
+NOT_LETTER = np.ones(256, dtype=bool)
+NOT_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
+
+
+def find_words(chunk: Chunk, between: np.ndarray = _SPACE) -> Words:
+    """The words of each text of a chunk, runs of bytes not in ``between``, with the hashes of their lower case."""
+    data = _LOWER[chunk.data]
     size, n = len(data), chunk.n
     if not size:
         none = np.zeros(0, np.int64)
         return Words(none, none, none, np.zeros(0, np.uint64), np.zeros(n, np.int64), np.zeros(n + 1, np.int64))
-    inside = ~_SPACE[data]
+    inside = ~between[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     cuts = chunk.bounds[1:-1]

@@ -1,6 +1,8 @@
 """All registered queries of the training-data operators and their SQL."""
 
-from lakemart.llm import hmm, minhash, mixing, packing, quality, sharding, toxicity, transducer  # noqa: F401
+from lakemart.llm import (  # noqa: F401
+    hmm, lattice, minhash, mixing, packing, quality, sharding, topk, toxicity, transducer,
+)
 from lakemart.llm.common import LLM_ORACLE, LLM_QUERIES
 
 __all__ = ["LLM_ORACLE", "LLM_QUERIES"]

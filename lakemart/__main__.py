@@ -5,6 +5,7 @@
     python -m lakemart gold    --silver /data/silver/user_info_cleaned --returns /data/gold/predictive_returns
     python -m lakemart page    --mart /data/gold/predictive_returns --page 1 --page-size 50
     python -m lakemart report  --mart /data/gold/predictive_returns
+    python -m lakemart split   --input wide.csv --left feed1.csv --right feed2.csv --id user_id --id last_purchase_date
     python -m lakemart wordcount --input /input --output /output
 
 The master, shuffle partitions and checkpoint folder come from the submit
@@ -33,8 +34,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--out", required=True)
     s.add_argument("--key", default="user_id")
     s.add_argument("--rank-method", choices=["ranged", "window"], default="ranged")
-    s.add_argument("--start", default=None, help="first bronze day to read (yyyy-MM-dd)")
-    s.add_argument("--end", default=None, help="last bronze day to read (yyyy-MM-dd)")
+    s.add_argument("--start", default=None, help="first silver day to rewrite (yyyy-MM-dd)")
+    s.add_argument("--end", default=None, help="last silver day to rewrite (yyyy-MM-dd)")
+    s.add_argument("--dedup-first", action="store_true", help="one row per user before the rank")
     s.add_argument("--income-scale", type=int, default=None,
                    help="decimals of income_level; takes the global mean from an exact sum")
     g = sub.add_parser("gold", help="segmentation table + returns Parquet mart")
@@ -48,8 +50,15 @@ def _parser() -> argparse.ArgumentParser:
     pg.add_argument("--mart", required=True)
     pg.add_argument("--page", type=int, default=1)
     pg.add_argument("--page-size", type=int, default=50)
+    pg.add_argument("--page-size-max", type=int, default=200)
     r = sub.add_parser("report", help="age profile over the whole mart as JSON")
     r.add_argument("--mart", required=True)
+    sp = sub.add_parser("split", help="one wide CSV -> two CSV that share the id columns")
+    sp.add_argument("--input", required=True)
+    sp.add_argument("--left", required=True)
+    sp.add_argument("--right", required=True)
+    sp.add_argument("--id", action="append", required=True, help="id column, repeatable")
+    sp.add_argument("--seed", type=int, default=42)
     w = sub.add_parser("wordcount", help="text files -> word<TAB>count lines")
     w.add_argument("--input", required=True)
     w.add_argument("--output", required=True)
@@ -58,15 +67,8 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    from lakemart.session import build_session, scoped_conf, size_for_input
-    spark = build_session(app_name=f"lakemart-{args.job}")
-    inputs = {"bronze": lambda: [i.split("=", 1)[1] for i in args.source],
-              "silver": lambda: [args.info, args.activity], "gold": lambda: [args.silver],
-              "report": lambda: [args.mart], "wordcount": lambda: [args.input]}
-    # scan and shuffle sizes from the input size (settings given at submit win)
-    sizing = size_for_input(spark, inputs[args.job]()) if args.job in inputs else {}
-    with scoped_conf(spark, sizing):
-        _run(spark, args)
+    from lakemart.session import build_session
+    _run(build_session(app_name=f"lakemart-{args.job}"), args)
     return 0
 
 
@@ -78,19 +80,23 @@ def _run(spark, args) -> None:
     elif args.job == "silver":
         from lakemart.plans.silver import build_silver
         build_silver(spark, args.info, args.activity, args.out, key=args.key, rank_method=args.rank_method,
-                     income_scale=args.income_scale, start=args.start, end=args.end)
+                     income_scale=args.income_scale, start=args.start, end=args.end, dedup_first=args.dedup_first)
     elif args.job == "gold":
         from lakemart.plans.gold import build_gold
         build_gold(spark, args.silver, args.returns, args.database,
                    db_location=args.database_location, segmentation_path=args.segmentation_path)
     elif args.job == "page":
         from lakemart.plans.serve import page_response
-        print(json.dumps(page_response(spark, args.mart, args.page, args.page_size), default=str))
+        print(json.dumps(page_response(spark, args.mart, args.page, args.page_size,
+                                       page_size_max=args.page_size_max), default=str))
     elif args.job == "report":
         from lakemart.plans.serve import age_report
         mart = spark.read.parquet(args.mart)
         print(json.dumps({k: [r.asDict() for r in v.collect()] for k, v in age_report(mart).items()},
                          default=str))
+    elif args.job == "split":
+        from lakemart.plans.split import split_csv
+        split_csv(spark, args.input, args.left, args.right, args.id, args.seed)
     elif args.job == "wordcount":
         from lakemart.plans.wordcount import run_word_count
         run_word_count(spark, args.input, args.output)

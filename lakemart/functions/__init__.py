@@ -1,14 +1 @@
-from lakemart.functions.scalar import (  # noqa: F401
-    array_item,
-    as_number,
-    concat_cols,
-    contains_text,
-    date_parts,
-    floor_to,
-    lower_text,
-    not_null,
-    safe_date,
-    split_item,
-    title_case,
-    typed_null,
-)
+"""Column functions."""

@@ -38,10 +38,6 @@ def title_case(col: str | Column) -> Column:
     return F.initcap(_c(col))
 
 
-def contains_text(col: str | Column, needle: str) -> Column:
-    return _c(col).contains(needle)
-
-
 def concat_cols(*parts: Column) -> Column:
     """``concat`` over ready-made columns; null if any input is null."""
     return F.concat(*parts)
@@ -62,18 +58,9 @@ def floor_to(col: str | Column, step: int) -> Column:
     return (F.floor(_c(col) / F.lit(step)) * F.lit(step)).cast("int")
 
 
-def not_null(col: str | Column) -> Column:
-    return _c(col).isNotNull()
-
-
 def as_number(col: str | Column, dtype: DataType, target: str = "double") -> Column:
     """Numeric view of a column: text goes through ``try_cast`` so junk is null."""
     c = _c(col)
     if isinstance(dtype, StringType):
         return c.try_cast(target)
     return c
-
-
-def typed_null(type_name: str) -> Column:
-    """A null literal with a concrete type (``lit(None)`` alone is VOID)."""
-    return F.lit(None).cast(type_name)

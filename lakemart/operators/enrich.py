@@ -3,15 +3,16 @@ W2) and one row per key (A7).
 
 Scale notes
 -----------
-* ``rank_within`` has two physical forms with identical results. ``window`` is
-  Spark's own ``rank() OVER (PARTITION BY g ...)``: one task per group, fine when
-  groups are many and even. ``ranged`` never puts a whole group in one task: the
-  rows are first collapsed to distinct (group, value) pairs with a count
-  (map-side combine, so a value repeated a billion times becomes one row), the
-  pairs are range-partitioned on (group, value) so a hot group is cut into many
-  value ranges, every range is ranked on its own and the counts of the ranges
-  before it are added. Ties never straddle two ranges because equal keys always
-  land in the same range partition.
+* ``rank_within`` never puts a whole group in one task. One small aggregate
+  (``percentile_approx`` per group) gives boundary values that cut each group
+  into blocks; it is written once, so all branches of the plan see the same
+  cuts. Equal values always fall in the same block. ``ranged`` first collapses
+  rows to distinct (group, value) pairs with a count (map-side combine, so
+  a value repeated a billion times becomes one row), ranks the pairs inside
+  their block, adds the rows of earlier blocks and joins the ranks back: four
+  shuffles of data size, and a tied value's join is split by AQE. ``window``
+  ranks the rows themselves inside their block: one shuffle, for values that
+  are near distinct (a tied value stays in one task).
 * ``with_global_mean`` computes the mean as a scalar subquery (partial +
   final aggregate, run once, substituted as a value), instead of
   ``avg() OVER ()`` which moves every row into one partition.
@@ -26,63 +27,83 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.functions.aggregate import mean
-from lakemart.session import shared_branch, shuffle_partitions
+from lakemart.session import cut_lineage
 
 
 def join_on_key(left: DataFrame, right: DataFrame, key: str | list[str],
                 how: str = "inner", drop_right: list[str] | None = None) -> DataFrame:
     """Equi-join on named key column(s); each key appears once in the output.
 
-    Columns of ``right`` that clash with ``left`` (other than the keys) are dropped
-    from ``right`` first, or exactly ``drop_right`` when given. Null keys never
-    match. The physical strategy is left to AQE (broadcast only when the
+    ``drop_right`` columns are dropped from ``right`` first; a column that then still
+    clashes with one of ``left`` (other than the keys) is an error. Null keys never match. The physical strategy is left to AQE (broadcast only when the
     runtime size of a side is under the broadcast threshold).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if drop_right is None:
-        drop_right = [c for c in right.columns if c in left.columns and c not in keys]
-    return left.join(right.drop(*drop_right), on=keys, how=how)
+    right = right.drop(*(drop_right or []))
+    clash = [c for c in right.columns if c in left.columns and c not in keys]
+    if clash:
+        raise ValueError(f"columns on both sides: {clash}; name them in drop_right")
+    return left.join(right, on=keys, how=how)
 
 
 def _order(col: str, descending: bool) -> Column:
     return F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
 
 
+RANK_BLOCKS = 64  # value ranges that each group is cut into
+
+
+def _block(value: str, bounds: str, descending: bool) -> Column:
+    """Number of a row's block in its group: how many boundary values come before its value."""
+    low = F.size(F.filter(F.col(bounds), lambda b: b < F.col(value)))
+    high = F.size(F.filter(F.col(bounds), lambda b: b > F.col(value)))
+    return F.when(F.col(value).isNull(), F.lit(1 << 30)).otherwise(high if descending else low)
+
+
 def rank_within(df: DataFrame, group: str, value: str, out: str = "rank",
                 descending: bool = True, method: str = "ranged",
-                blocks: int | None = None) -> DataFrame:
-    """``rank()`` (gaps after ties) of ``value`` inside ``group``.
+                blocks: int = RANK_BLOCKS, dense: bool = False) -> DataFrame:
+    """``rank()`` (gaps after ties) of a numeric ``value`` inside ``group``.
 
     ``descending`` orders high first with nulls last (Spark's default for DESC);
-    otherwise low first, nulls last. ``method`` is ``"ranged"`` (skew-safe) or
-    ``"window"`` (one task per group).
+    otherwise low first, nulls last. ``method`` is ``"ranged"`` (splits tied values, too)
+    or ``"window"``. With ``dense`` equal values count once (no gaps). The boundary
+    values are computed when this is called.
     """
-    if method == "window":
-        w = Window.partitionBy(group).orderBy(_order(value, descending))
-        return df.withColumn(out, F.rank().over(w))
-    if method != "ranged":
+    if method not in ("ranged", "window"):
         raise ValueError(f"unknown rank method {method!r}")
-
-    nblocks = blocks or shuffle_partitions(df.sparkSession)
+    if dense and method == "window":
+        raise ValueError("dense ranks need method='ranged'")
     order = _order(value, descending)
-    # 1. distinct (group, value) with multiplicity: partial aggregation first
-    pairs = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
-    # 2. cut the ordered pairs into contiguous ranges; the range id is the block
-    ranged = shared_branch(pairs.repartitionByRange(nblocks, F.col(group).asc_nulls_first(), order)
-                                .withColumn("_blk", F.spark_partition_id()), "rank-blocks")
-    # 3. rows of the same group in earlier blocks (tiny table: <= blocks + groups rows)
-    per_block = ranged.groupBy(group, "_blk").agg(F.sum("_n").alias("_blk_n"))
-    before_blocks = Window.partitionBy(group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_block.select(
-        F.col(group).alias("_g"), F.col("_blk").alias("_b"),
-        F.coalesce(F.sum("_blk_n").over(before_blocks), F.lit(0)).alias("_off"))
-    # 4. rows strictly before each pair inside its own block
-    before_in_block = Window.partitionBy(group, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    inside = ranged.withColumn("_before", F.coalesce(F.sum("_n").over(before_in_block), F.lit(0)))
-    ranks = (inside.join(offsets, inside[group].eqNullSafe(offsets["_g"]) & (inside["_blk"] == offsets["_b"]))
+    cuts = [i / blocks for i in range(1, blocks)] or [0.5]
+    # groups * blocks numbers; AQE decides from their size how they are joined
+    bounds = cut_lineage(df.groupBy(F.col(group).alias("_bg")).agg(
+        F.array_distinct(F.percentile_approx(value, cuts, 10 * blocks)).alias("_bounds")), "rank-bounds")
+
+    def with_block(frame: DataFrame) -> DataFrame:
+        return (frame.join(bounds, frame[group].eqNullSafe(bounds["_bg"])).drop("_bg")
+                .withColumn("_blk", _block(value, "_bounds", descending)).drop("_bounds"))
+
+    def offsets(frame: DataFrame, weight: Column) -> DataFrame:
+        per_block = frame.groupBy(group, "_blk").agg(F.sum(weight).alias("_blk_n"))
+        before = Window.partitionBy(group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+        return per_block.select(F.col(group).alias("_g"), F.col("_blk").alias("_b"),
+                                F.coalesce(F.sum("_blk_n").over(before), F.lit(0)).alias("_off"))
+
+    if method == "window":
+        rows = with_block(df)
+        off = offsets(rows, F.lit(1))
+        inside = rows.withColumn("_in", F.rank().over(Window.partitionBy(group, "_blk").orderBy(order)))
+        placed = inside.join(off, inside[group].eqNullSafe(off["_g"]) & (inside["_blk"] == off["_b"]))
+        return placed.withColumn(out, (F.col("_off") + F.col("_in")).cast("int")).select(*df.columns, out)
+    pairs = with_block(df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n")))
+    weight = F.lit(1) if dense else F.col("_n")
+    off = offsets(pairs, weight)
+    before = Window.partitionBy(group, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = pairs.withColumn("_in", F.coalesce(F.sum(weight).over(before), F.lit(0)))
+    ranks = (inside.join(off, inside[group].eqNullSafe(off["_g"]) & (inside["_blk"] == off["_b"]))
              .select(F.col(group).alias("_rg"), F.col(value).alias("_rv"),
-                     (F.col("_off") + F.col("_before") + F.lit(1)).cast("int").alias(out)))
-    # 5. every input row picks up the rank of its (group, value) pair
+                     (F.col("_off") + F.col("_in") + F.lit(1)).cast("int").alias(out)))
     cond = df[group].eqNullSafe(ranks["_rg"]) & df[value].eqNullSafe(ranks["_rv"])
     return df.join(ranks, cond, "inner").drop("_rg", "_rv")
 

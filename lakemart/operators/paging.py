@@ -1,6 +1,6 @@
 """First rows, page reads and row counts over a mart.
 
-A page is 1-based; ``page_size`` is 1..200 (default 50). The slice is
+A page is 1-based; ``page_size`` is 1..``page_size_max`` (default 50, at most 200). The slice is
 ``[(page-1)*size, min(start+size, total))``; a page past the end has no items
 but still reports the true total.
 
@@ -8,27 +8,29 @@ Two physical forms for a page:
 * ``page``: ``ORDER BY key OFFSET start LIMIT size``. Spark plans it as a
   per-task top-(start+size) followed by one merge, fine for the first pages.
 * ``page_by_row_no``: the mart stores a dense ``row_no`` in key order (built by
-  :func:`number_rows` without any single-partition step), so any page is a
-  range filter that Parquet row-group statistics prune.
+  :func:`number_rows` without any single-partition step) in directories of
+  ``ROW_BLOCK`` rows, so any page is a range filter that opens one or two
+  directories.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.session import shared_branch, shuffle_partitions
+from lakemart.session import cut_lineage, shuffle_partitions
 
 PAGE_SIZE_DEFAULT = 50
 PAGE_SIZE_MAX = 200
+ROW_BLOCK = 1_000_000
 
 
-def check_page(page: int, page_size: int) -> int:
+def check_page(page: int, page_size: int, page_size_max: int = PAGE_SIZE_MAX) -> int:
     """Validate a request and return the 0-based start row."""
     if not isinstance(page, int) or page < 1:
         raise ValueError(f"page must be an integer >= 1, got {page!r}")
-    if not isinstance(page_size, int) or not 1 <= page_size <= PAGE_SIZE_MAX:
-        raise ValueError(f"page_size must be an integer in 1..{PAGE_SIZE_MAX}, got {page_size!r}")
+    if not isinstance(page_size, int) or not 1 <= page_size <= page_size_max:
+        raise ValueError(f"page_size must be an integer in 1..{page_size_max}, got {page_size!r}")
     return (page - 1) * page_size
 
 
@@ -42,9 +44,9 @@ def first_n(df: DataFrame, n: int, order: str | list[str]) -> DataFrame:
 
 
 def page(df: DataFrame, page_no: int, page_size: int = PAGE_SIZE_DEFAULT,
-         key: str | list[str] = "user_id") -> DataFrame:
+         key: str | list[str] = "user_id", page_size_max: int = PAGE_SIZE_MAX) -> DataFrame:
     """Rows of one page in key order."""
-    start = check_page(page_no, page_size)
+    start = check_page(page_no, page_size, page_size_max)
     ordered = df.orderBy(*[F.col(c).asc_nulls_first() for c in _keys(key)])
     return ordered.offset(start).limit(page_size) if start else ordered.limit(page_size)
 
@@ -54,10 +56,12 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total"))
 
 
-def page_summary(df: DataFrame, page_no: int, page_size: int = PAGE_SIZE_DEFAULT) -> DataFrame:
-    """One row: page, page_size, total, n_items (0 past the end)."""
-    start = check_page(page_no, page_size)
-    total = F.count(F.lit(1))
+def page_summary(df: DataFrame, page_no: int, page_size: int = PAGE_SIZE_DEFAULT,
+                 page_size_max: int = PAGE_SIZE_MAX, total: Column | None = None) -> DataFrame:
+    """One row: page, page_size, total, n_items (0 past the end). ``total`` is an
+    aggregate over ``df``, its row count unless given (a stored total, say)."""
+    start = check_page(page_no, page_size, page_size_max)
+    total = F.count(F.lit(1)) if total is None else total
     return df.agg(
         F.lit(page_no).cast("int").alias("page"),
         F.lit(page_size).cast("int").alias("page_size"),
@@ -103,7 +107,8 @@ def number_rows(df: DataFrame, key: str | list[str], out: str = "row_no") -> Dat
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()))
     # position inside the partition: the id is (partition << 33) + position
-    ranged = shared_branch(
+    # written once: the counts and the rows must see the same ranges
+    ranged = cut_lineage(
         ranged.withColumn("_pos", F.col("_pos") - F.shiftleft(F.col("_pid").cast("bigint"), 33)), "row-ranges")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
@@ -115,8 +120,12 @@ def number_rows(df: DataFrame, key: str | list[str], out: str = "row_no") -> Dat
 
 
 def page_by_row_no(df: DataFrame, page_no: int, page_size: int = PAGE_SIZE_DEFAULT,
-                   row_no: str = "row_no") -> DataFrame:
-    """A page of a mart that carries ``row_no``: a pushed-down range filter."""
-    start = check_page(page_no, page_size)
-    return (df.filter((F.col(row_no) > start) & (F.col(row_no) <= start + page_size))
-              .orderBy(row_no).drop(row_no))
+                   row_no: str = "row_no", page_size_max: int = PAGE_SIZE_MAX) -> DataFrame:
+    """A page of a mart that carries ``row_no``: a pushed-down range filter, on the
+    directories first where the mart has ``row_block``."""
+    start = check_page(page_no, page_size, page_size_max)
+    picked = df.filter((F.col(row_no) > start) & (F.col(row_no) <= start + page_size))
+    if "row_block" in df.columns:
+        first, last = start // ROW_BLOCK, (start + page_size - 1) // ROW_BLOCK
+        picked = picked.filter(F.col("row_block").between(first, last))
+    return picked.orderBy(row_no).drop(row_no, "row_block")

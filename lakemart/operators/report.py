@@ -32,11 +32,3 @@ def age_bucket_means(df: DataFrame, columns: list[str], age: str = "age", step:
                     .groupBy("age_bucket")
                     .agg(*[mean(c, scales.get(c)).alias(f"mean_{c}") for c in columns])
                     .orderBy("age_bucket"))
-
-
-def income_by_age_bucket(df: DataFrame) -> DataFrame:
-    return age_bucket_means(df, ["income_level"])
-
-
-def return_rate_by_age_bucket(df: DataFrame) -> DataFrame:
-    return age_bucket_means(df, ["return_rate"])

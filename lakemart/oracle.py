@@ -69,9 +69,3 @@ silver AS (
 def with_fixtures(body: str) -> str:
     """Prefix the fixture views to a statement."""
     return "WITH " + FIXTURE_CTES.strip() + "\n" + body.strip()
-
-
-def title_case_sql(expr: str) -> str:
-    """DuckDB spelling of Spark's ``initcap``: words split on single spaces."""
-    return (f"array_to_string(list_transform(string_split({expr}, ' '), "
-            f"lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')")

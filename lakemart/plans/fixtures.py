@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.session import cut_lineage, ensure_parallel, input_bytes
+from lakemart.session import cut_lineage
 from lakemart.sources.files import read_table_file
 
 
@@ -31,10 +31,8 @@ def line_returns(spark: SparkSession, base: str) -> DataFrame:
 def customer_orders(spark: SparkSession, base: str) -> DataFrame:
     """Per ordering customer: last order date, exact mean order value, first
     priority and share of returned lines (null when no order has lines)."""
-    # the per-customer aggregate is sort based (min over text), so an orders
-    # input with fewer splits than cores is spread out first (no-op at scale)
-    orders = ensure_parallel(read_table_file(spark, base, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"))
+    orders = read_table_file(spark, base, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     lines = line_returns(spark, base)
     joined = orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left")
     return joined.groupBy("o_custkey").agg(
@@ -87,31 +85,17 @@ def activity(spark: SparkSession, base: str, per_customer: DataFrame | None = No
         "preferred_payment_method", "return_rate")
 
 
-# Above this much orders input the per-customer aggregate is written once.
-WRITE_ONCE_BYTES = 256 << 20
-
-
-def shared_customer_orders(spark: SparkSession, base: str,
-                           write_once_bytes: int = WRITE_ONCE_BYTES) -> DataFrame:
+def shared_customer_orders(spark: SparkSession, base: str) -> DataFrame:
     """:func:`customer_orders` for use by both feeds.
 
-    Each feed keeps different columns of it, so column pruning turns the one
+    Each feed keeps different columns of it, so column pruning would turn the one
     aggregate into two different plans (two scans of orders, two shuffles)
-    that exchange reuse cannot merge. When the orders input is at least
-    ``write_once_bytes`` (one file-system metadata call) the aggregate is
-    written once to the shared checkpoint folder and both feeds scan that
-    customer-sized table; below it the second small aggregate is cheaper than
-    a write."""
-    pc = customer_orders(spark, base)
-    try:
-        nbytes = input_bytes(spark, [f"{base.rstrip('/')}/orders.parquet"])
-    except Exception:  # size unknown: take the path that is safe at any size
-        nbytes = write_once_bytes
-    return cut_lineage(pc, "per-customer") if nbytes >= write_once_bytes else pc
-
-
-def shopper_feeds(spark: SparkSession, base: str,
-                  write_once_bytes: int = WRITE_ONCE_BYTES) -> tuple[DataFrame, DataFrame]:
+    that exchange reuse cannot merge. It is written once to the shared
+    checkpoint folder and both feeds scan that customer-sized table."""
+    return cut_lineage(customer_orders(spark, base), "per-customer")
+
+
+def shopper_feeds(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     """(profile, activity) sharing one per-customer aggregate."""
-    pc = shared_customer_orders(spark, base, write_once_bytes)
+    pc = shared_customer_orders(spark, base)
     return profile(spark, base, pc), activity(spark, base, pc)

@@ -9,7 +9,7 @@ session has none (local tests).
 from __future__ import annotations
 
 import contextlib
-import os
+import re
 import tempfile
 import uuid
 
@@ -55,12 +55,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
     Order: the session's ``spark.checkpoint.dir``, then a directory already set on
-    the context, and only then a new private folder (tests on one machine).
+    the context, and only on a local master a new private folder. On a cluster
+    a folder of one machine would lose data, so there a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that driver and executors share (master {master})")
         root = tempfile.mkdtemp(prefix="lakemart-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     if not spark.sparkContext.getCheckpointDir():
@@ -69,9 +73,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    return f"{root}/lakemart-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint root. The driver's file
+    system client removes it when the application ends."""
+    path = f"{checkpoint_root(spark)}/lakemart-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path
 
 
 def local_path(path: str) -> str:
@@ -83,12 +90,15 @@ def local_path(path: str) -> str:
     return path
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system's scheme and host, without a closing slash."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(jpath).toString().rstrip("/")
 
 
-def is_local_dir(path: str) -> bool:
-    return os.path.isdir(local_path(path))
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def cut_lineage(df, name: str):
@@ -101,20 +111,6 @@ def cut_lineage(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
-def shared_branch(df, name: str):
-    """A frame that two branches of one plan must see identically.
-
-    Range partitioning samples its bounds when the exchange is built, so a
-    frame whose partition ids are used in two branches (block counts joined
-    back to the blocks) is only consistent if both branches run the same
-    exchange. Spark reuses it when ``spark.sql.exchange.reuse`` is on (the
-    default); with reuse off the frame is written once and both branches read
-    the files."""
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "true":
-        return df
-    return cut_lineage(df, name)
-
-
 @contextlib.contextmanager
 def scoped_conf(spark: SparkSession, settings: dict[str, str]):
     """Set session settings for the duration of a block, then restore them."""
@@ -129,82 +125,3 @@ def scoped_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-
-
-def ensure_parallel(df, min_partitions: int | None = None):
-    """Spread an under-partitioned input before CPU-heavy per-row work.
-
-    A single unsplittable input (one large row group, one gzip file) is read by
-    one task; when the frame has fewer partitions than the cluster's
-    parallelism it is redistributed round-robin (deterministic on retry: Spark
-    sorts before a round-robin repartition). Meant for frames that are a scan
-    plus projections: with at least as many input files as cores (any large
-    table) it returns at once without planning anything; otherwise it counts
-    the scan's partitions, which on a bare scan runs no job.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        if len(df.inputFiles()) >= want:
-            return df
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no file list or RDD view (e.g. a remote session): leave the plan as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
-MB = 1 << 20
-
-
-def sized_conf(input_bytes: int, cores: int, scan_split_bytes: int = 256 * MB,
-               shuffle_bytes: int = 256 * MB, max_shuffle_partitions: int = 20000) -> dict[str, str]:
-    """Scan and shuffle sizing for a job reading ``input_bytes`` on ``cores`` cores.
-
-    * Scan splits: ``scan_split_bytes``, raised (up to 1 GiB) when the input
-      would otherwise need more than ~8 waves of tasks, so a 100 TB scan on a
-      few thousand cores stays at tens of thousands of tasks.
-    * Shuffle: the initial partition count gives about ``shuffle_bytes`` per
-      partition if the whole input were shuffled, at least two per core, at
-      most ``max_shuffle_partitions`` (map x reduce block count). AQE then
-      merges small partitions up to the advisory size (``parallelismFirst``
-      off, so the size target wins over spreading tiny partitions) and splits
-      skewed ones.
-    """
-    cores = max(1, cores)
-    split = scan_split_bytes
-    while split < 1024 * MB and input_bytes / split > 8 * cores:
-        split *= 2
-    partitions = min(max_shuffle_partitions, max(2 * cores, -(-input_bytes // shuffle_bytes)))
-    partitions = -(-partitions // cores) * cores  # whole waves
-    if partitions > max_shuffle_partitions:
-        partitions = max(cores, max_shuffle_partitions // cores * cores)
-    return {
-        "spark.sql.files.maxPartitionBytes": str(split),
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    }
-
-
-def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of files under ``paths`` (one file-system metadata call each)."""
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        jpath = jvm.org.apache.hadoop.fs.Path(p)
-        total += jpath.getFileSystem(hconf).getContentSummary(jpath).getLength()
-    return total
-
-
-def size_for_input(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """:func:`sized_conf` for the inputs of a job, without the settings the
-    submit configuration names explicitly (those stay as submitted). Apply the
-    result with :func:`scoped_conf` around the job."""
-    try:
-        nbytes = input_bytes(spark, paths)
-    except Exception:  # no JVM view or unreadable path: keep the cluster defaults
-        return {}
-    submitted = spark.sparkContext.getConf()
-    return {k: v for k, v in sized_conf(nbytes, spark.sparkContext.defaultParallelism).items()
-            if not submitted.contains(k)}

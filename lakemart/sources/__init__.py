@@ -1,22 +1 @@
-from lakemart.sources.files import (  # noqa: F401
-    PARTITION_COLUMNS,
-    date_range,
-    declare_csv_table,
-    read_catalog_table,
-    read_csv,
-    read_csv_raw,
-    read_json,
-    read_parquet,
-    read_table_file,
-    read_text,
-)
-from lakemart.sources.sinks import (  # noqa: F401
-    ensure_database,
-    save_table,
-    write_csv,
-    write_json,
-    write_parquet,
-    write_partitioned,
-    write_text,
-    write_tsv,
-)
+"""Readers and writers."""

@@ -15,38 +15,9 @@ from pyspark.sql.types import StructType
 PARTITION_COLUMNS = ("year", "month", "day")
 
 
-# Parquet schemas already read in this process, by (path, modification time, size).
-_SCHEMAS: dict[tuple, StructType] = {}
-
-
-def _file_stamp(spark: SparkSession, path: str) -> tuple | None:
-    """(qualified path, modification time, length) through the Hadoop file
-    system of ``path`` (one metadata call), or None when unavailable."""
-    try:
-        jvm = spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        status = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(jpath)
-        return (str(status.getPath()), status.getModificationTime(), status.getLen())
-    except Exception:  # no JVM view (remote session) or no such path: infer as usual
-        return None
-
-
 def read_table_file(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    """One of the driver's Parquet tables: ``<base_dir>/<name>.parquet``.
-
-    Inferring a Parquet schema runs a Spark job over the footers. A table read
-    again in the same process, unchanged (same modification time and size),
-    is read under the schema found the first time, so the job runs once.
-    """
-    path = f"{base_dir.rstrip('/')}/{name}.parquet"
-    stamp = _file_stamp(spark, path)
-    schema = _SCHEMAS.get(stamp) if stamp else None
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    if stamp:
-        _SCHEMAS[stamp] = df.schema
-    return df
+    """One of the driver's Parquet tables: ``<base_dir>/<name>.parquet``."""
+    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_csv(spark: SparkSession, path: str, header: bool = True, infer: bool = True,
@@ -73,14 +44,16 @@ def read_csv_raw(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
 
 
 def declare_csv_table(spark: SparkSession, table: str, columns_ddl: str, location: str,
-                      sep: str = ",", if_not_exists: bool = True) -> DataFrame:
+                      sep: str = ",", if_not_exists: bool = True, quote: str | None = None) -> DataFrame:
     """A catalog table over a directory of delimited text under a declared
     schema (S3). Lines are not skipped: a header line becomes a row whose
-    non-text fields are null. CHAR(n) values are blank-padded on read."""
+    non-text fields are null. CHAR(n) values are blank-padded on read.
+    ``quote=""`` turns quoting off, as Hive's delimited text does."""
     exists = "IF NOT EXISTS " if if_not_exists else ""
+    quoting = "" if quote is None else f", quote '{quote or chr(92) + 'u0000'}'"
     spark.sql(
         f"CREATE TABLE {exists}{table} ({columns_ddl}) USING csv "
-        f"OPTIONS (header 'false', sep '{sep}', mode 'PERMISSIVE') LOCATION '{location}'"
+        f"OPTIONS (header 'false', sep '{sep}', mode 'PERMISSIVE'{quoting}) LOCATION '{location}'"
     )
     return spark.table(table)
 

@@ -67,11 +67,6 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
     df.write.mode(mode).option("header", str(header).lower()).option("sep", sep).csv(path)
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Tab-separated lines without header (K6, word-count output)."""
-    write_csv(df, path, header=False, sep="\t", mode=mode)
-
-
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON lines (used to stage nested documents)."""
     df.write.mode(mode).json(path)

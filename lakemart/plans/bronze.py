@@ -13,7 +13,7 @@ replaces only the days present in the feed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
 from lakemart.functions.scalar import date_parts, safe_date
 from lakemart.sources.files import PARTITION_COLUMNS, read_csv
@@ -21,8 +21,13 @@ from lakemart.sources.sinks import write_partitioned
 
 
 def add_date_partitions(df: DataFrame, date_col: str, fmt: str | None = None) -> DataFrame:
-    """year / month / day columns from ``date_col`` (text or date); bad text -> null."""
-    dt = safe_date(df[date_col].cast("string"), fmt)
+    """year / month / day columns from ``date_col``; bad text -> null. A date or
+    timestamp column is used as it is, only text is parsed."""
+    dt = df[date_col]
+    if isinstance(df.schema[date_col].dataType, (DateType, TimestampType, TimestampNTZType)):
+        dt = dt.cast("date")
+    else:
+        dt = safe_date(dt.cast("string"), fmt)
     return df.withColumns({name: c for name, c in date_parts(dt).items()})
 
 

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.scalar import array_item, split_item
 from lakemart.operators.sets import union_by_name
+from lakemart.sources.files import read_csv, read_json
 
 
 @dataclass
@@ -60,3 +61,9 @@ def conform(df: DataFrame, spec: FeedSpec) -> DataFrame:
 
 def conform_and_union(left: DataFrame, left_spec: FeedSpec, right: DataFrame, right_spec: FeedSpec) -> DataFrame:
     return union_by_name(conform(left, left_spec), conform(right, right_spec))
+
+
+def conform_files(spark: SparkSession, csv_path: str, csv_spec: FeedSpec, json_path: str,
+                  json_spec: FeedSpec) -> DataFrame:
+    """The flat feed from a headered CSV (types inferred), the nested one from JSON lines."""
+    return conform_and_union(read_csv(spark, csv_path), csv_spec, read_json(spark, json_path), json_spec)

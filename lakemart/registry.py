@@ -1,7 +1,8 @@
 """Every implemented operator as a named query over the driver's tables.
 
-``QUERIES[name](spark, base_dir)`` returns a lazy DataFrame (sink queries write
-under the shared checkpoint folder first and return the read-back).
+``QUERIES[name](spark, base_dir)`` returns a DataFrame. Building it may already run
+jobs: sink queries write under the shared checkpoint folder and return the
+read-back, and what several branches of a plan share is written there first.
 ``ORACLE[name]`` is the same result in DuckDB SQL over the same tables. Queries
 whose oracle is ``None`` are checked on row counts only.
 """
@@ -13,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.oracle import with_fixtures
+from lakemart.oracle import FIXTURE_CTES, with_fixtures
 from lakemart.plans import fixtures as fx
 from lakemart.plans import silver as sv
 
@@ -60,7 +61,7 @@ def q_silver(spark: SparkSession, base: str) -> DataFrame:
 
 @query("silver_window_rank", ORACLE["silver"])
 def q_silver_window_rank(spark: SparkSession, base: str) -> DataFrame:
-    """The same silver build with Spark's one-task-per-country rank."""
+    """The same silver build with the rank taken by windows over value blocks."""
     return silver_frame(spark, base, rank_method="window")
 
 
@@ -162,24 +163,19 @@ def _t(spark: SparkSession, base: str, name: str) -> DataFrame:
     return read_table_file(spark, base, name)
 
 
-def _restore_types(df: DataFrame, like: DataFrame) -> DataFrame:
-    """Cast columns read back from text to the types of the source table."""
-    types = {f.name: f.dataType for f in like.schema.fields}
-    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
-
-
 # ------------------------------------------------------------- sources
 
-@query("csv_header_scan", "SELECT * FROM orders")
+@query("csv_header_scan", "SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, "
+                          "o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders")
 def q_csv_header_scan(spark: SparkSession, base: str) -> DataFrame:
-    """orders -> CSV with header (K5) -> CSV read with inferred types."""
+    """orders -> CSV with header (K5) -> CSV read with inferred types (S1): whole
+    numbers that fit become INT, ``yyyy-MM-dd`` a DATE."""
     from lakemart.session import scratch_path
     from lakemart.sources.files import read_csv
     from lakemart.sources.sinks import write_csv
-    orders = _t(spark, base, "orders")
     path = scratch_path(spark, "orders-csv")
-    write_csv(orders, path, header=True)
-    return _restore_types(read_csv(spark, path, header=True, infer=True), orders)
+    write_csv(_t(spark, base, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date")), path, header=True)
+    return read_csv(spark, path, header=True, infer=True)
 
 
 CUSTOMER_TEXT_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
@@ -315,8 +311,8 @@ def q_word_count_text(spark: SparkSession, base: str) -> DataFrame:
 
 # ------------------------------------------------------------ bronze (G1, K1)
 
-BRONZE_FEED_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, "
-                      "last_purchase_date STRING")
+BRONZE_FEED_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+                      "o_orderpriority STRING, last_purchase_date STRING")
 
 
 def staged_orders_feed(spark: SparkSession, base: str) -> str:
@@ -325,13 +321,13 @@ def staged_orders_feed(spark: SparkSession, base: str) -> str:
     from lakemart.sources.sinks import write_csv
     path = scratch_path(spark, "orders-feed")
     feed = _t(spark, base, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice",
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("last_purchase_date"))
     write_csv(feed, path, header=True)
     return path
 
 
-BRONZE_ROWS_SQL = ("SELECT o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS last_purchase_date, "
+BRONZE_ROWS_SQL = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS last_purchase_date, "
                    "CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, "
                    "CAST(day(o_orderdate) AS INTEGER) AS day FROM orders")
 
@@ -410,11 +406,8 @@ def q_silver_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@query("medallion_files", with_fixtures(SILVER_SELECT))
-def q_medallion_files(spark: SparkSession, base: str) -> DataFrame:
-    """Bronze -> silver through files: both feeds staged as dated CSV, loaded
-    into date-partitioned bronze, silver built from the bronze datasets."""
-    from lakemart.plans.bronze import load_bronze
+def staged_feeds(spark: SparkSession, base: str) -> dict[str, str]:
+    """Both feeds as dated CSV files."""
     from lakemart.session import scratch_path
     from lakemart.sources.sinks import write_csv
     pc = fx.shared_customer_orders(spark, base)
@@ -424,9 +417,16 @@ def q_medallion_files(spark: SparkSession, base: str) -> DataFrame:
         "user_id")
     feeds = {}
     for name, df in (("user_info1", info), ("user_info2", act)):
-        src = scratch_path(spark, f"feed-{name}")
-        write_csv(df, src, header=True)
-        feeds[name] = src
+        feeds[name] = scratch_path(spark, f"feed-{name}")
+        write_csv(df, feeds[name], header=True)
+    return feeds
+
+
+def staged_bronze(spark: SparkSession, base: str) -> tuple[str, str]:
+    """Both feeds loaded into date-partitioned bronze under declared schemas."""
+    from lakemart.plans.bronze import load_bronze
+    from lakemart.session import scratch_path
+    feeds = staged_feeds(spark, base)
     info_schema = ("user_id BIGINT, age INT, country STRING, gender STRING, income_level DOUBLE, "
                    "last_purchase_date DATE")
     act_schema = ("user_id BIGINT, average_order_value DOUBLE, preferred_payment_method STRING, "
@@ -434,10 +434,108 @@ def q_medallion_files(spark: SparkSession, base: str) -> DataFrame:
     bronze1, bronze2 = scratch_path(spark, "bronze-user_info1"), scratch_path(spark, "bronze-user_info2")
     load_bronze(spark, feeds["user_info1"], bronze1, schema=info_schema)
     load_bronze(spark, feeds["user_info2"], bronze2, schema=act_schema)
-    silver = sv.build_silver(spark, bronze1, bronze2, scratch_path(spark, "silver-files"), income_scale=2)
+    return bronze1, bronze2
+
+
+@query("medallion_files", with_fixtures(SILVER_SELECT))
+def q_medallion_files(spark: SparkSession, base: str) -> DataFrame:
+    """Bronze -> silver through files: both feeds staged as dated CSV, loaded
+    into date-partitioned bronze, silver built from the bronze datasets."""
+    from lakemart.session import scratch_path
+    silver = sv.build_silver(spark, *staged_bronze(spark, base), scratch_path(spark, "silver-files"), income_scale=2)
     return silver.select(*SILVER_COLUMNS)
 
 
+@query("silver_day_range", with_fixtures(SILVER_SELECT))
+def q_silver_day_range(spark: SparkSession, base: str) -> DataFrame:
+    """A full silver build, then a re-run for some days: those are rewritten, all others stay."""
+    from lakemart.session import scratch_path
+    bronze, out = staged_bronze(spark, base), scratch_path(spark, "silver-days")
+    sv.build_silver(spark, *bronze, out, income_scale=2)
+    sv.build_silver(spark, *bronze, out, income_scale=2, start="1995-01-01", end="1997-06-30")
+    return spark.read.parquet(out).select(*SILVER_COLUMNS)
+
+
+@query("bronze_inferred", with_fixtures("""
+SELECT CAST(p.user_id AS INTEGER) AS user_id, p.age, p.country, p.gender, p.income_level, p.last_purchase_date,
+       CAST(year(p.last_purchase_date) AS INTEGER) AS year, CAST(month(p.last_purchase_date) AS INTEGER) AS month,
+       CAST(day(p.last_purchase_date) AS INTEGER) AS day,
+       a.average_order_value, a.preferred_payment_method, a.return_rate
+FROM profile p LEFT JOIN activity a ON a.user_id = p.user_id"""))
+def q_bronze_inferred(spark: SparkSession, base: str) -> DataFrame:
+    """Both feeds loaded as one job with inferred types; read back and put side by side."""
+    from lakemart.plans.bronze import load_feeds
+    from lakemart.session import scratch_path
+    paths = load_feeds(spark, staged_feeds(spark, base), scratch_path(spark, "bronze-inferred"))
+    info, act = (spark.read.parquet(paths[n]) for n in ("user_info1", "user_info2"))
+    return info.join(act.drop("last_purchase_date", "year", "month", "day"), "user_id", "left")
+
+
+# Feeds at order grain: users repeat, some have no number, order values tie or are null.
+DUPLICATE_FEEDS_SQL = """
+WITH profile AS (
+  SELECT CASE WHEN o_custkey % 53 = 0 THEN NULL ELSE o_custkey END AS user_id,
+         CAST(o_orderkey % 126 AS INTEGER) AS age, 'land ' || CAST(o_custkey % 4 AS VARCHAR) AS country,
+         o_orderstatus AS gender, o_totalprice AS income_level, CAST(o_orderdate AS DATE) AS last_purchase_date
+  FROM orders),
+activity AS (
+  SELECT DISTINCT CASE WHEN o_custkey % 53 = 0 THEN NULL ELSE o_custkey END AS user_id,
+         CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE CAST(o_custkey % 7 AS DOUBLE) END AS average_order_value,
+         o_orderpriority AS preferred_payment_method, CAST(o_custkey % 3 AS DOUBLE) AS return_rate
+  FROM orders),
+"""
+
+
+def duplicate_feeds(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    o = _t(spark, base, "orders")
+    user = F.expr("IF(o_custkey % 53 = 0, NULL, o_custkey)").alias("user_id")
+    info = o.select(user, F.expr("CAST(o_orderkey % 126 AS INT)").alias("age"),
+                    F.expr("'land ' || CAST(o_custkey % 4 AS STRING)").alias("country"),
+                    F.col("o_orderstatus").alias("gender"), F.col("o_totalprice").alias("income_level"),
+                    F.col("o_orderdate").cast("date").alias("last_purchase_date"))
+    act = o.select(user, F.expr("IF(o_custkey % 11 = 0, NULL, CAST(o_custkey % 7 AS DOUBLE))").alias("average_order_value"),
+                   F.col("o_orderpriority").alias("preferred_payment_method"),
+                   F.expr("CAST(o_custkey % 3 AS DOUBLE)").alias("return_rate")).distinct()
+    return info, act
+
+
+@query("silver_duplicates", DUPLICATE_FEEDS_SQL + FIXTURE_CTES[FIXTURE_CTES.index("joined AS ("):] + SILVER_SELECT)
+def q_silver_duplicates(spark: SparkSession, base: str) -> DataFrame:
+    """Silver over feeds whose users repeat in both, with tied and null order values and null users."""
+    info, act = duplicate_feeds(spark, base)
+    return sv.silver_transform(sv.with_date_parts(info), act, income_scale=2).select(*SILVER_COLUMNS)
+
+
+@query("rank_ties", """
+SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE floor(o_totalprice / 20000) END AS v,
+       CAST(rank() OVER (PARTITION BY o_orderpriority ORDER BY
+            CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE floor(o_totalprice / 20000) END DESC NULLS LAST) AS INTEGER) AS rank
+FROM orders""")
+def q_rank_ties(spark: SparkSession, base: str) -> DataFrame:
+    """Rank over few distinct values and many nulls."""
+    from lakemart.operators.enrich import rank_within
+    v = F.when(F.col("o_orderkey") % 9 != 0, F.floor(F.col("o_totalprice") / 20000).cast("double")).alias("v")
+    return rank_within(_t(spark, base, "orders").select("o_orderkey", "o_orderpriority", v), "o_orderpriority", "v", "rank")
+
+
+@query("bronze_bad_dates", """
+SELECT o_orderkey, txt AS last_purchase_date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       CAST(day(d) AS INTEGER) AS day
+FROM (SELECT *, TRY_CAST(txt AS DATE) AS d
+      FROM (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN '2024-02-30' WHEN 1 THEN 'unknown'
+                                    ELSE strftime(o_orderdate, '%Y-%m-%d') END AS txt FROM orders) a) b""")
+def q_bronze_bad_dates(spark: SparkSession, base: str) -> DataFrame:
+    """A feed in which some dates are no dates: their rows land in the default partition."""
+    from lakemart.plans.bronze import load_bronze
+    from lakemart.session import scratch_path
+    from lakemart.sources.sinks import write_csv
+    text = F.expr("CASE o_orderkey % 5 WHEN 0 THEN '2024-02-30' WHEN 1 THEN 'unknown' ELSE date_format(o_orderdate, 'yyyy-MM-dd') END")
+    feed, out = scratch_path(spark, "bad-dates-feed"), scratch_path(spark, "bronze-bad-dates")
+    write_csv(_t(spark, base, "orders").select("o_orderkey", text.alias("last_purchase_date")), feed, header=True)
+    load_bronze(spark, feed, out, schema="o_orderkey BIGINT, last_purchase_date STRING")
+    return spark.read.parquet(out)
+
+
 @query("mart_segmentation", with_fixtures("SELECT user_id, gender, country, rank_in_country FROM silver"))
 def q_mart_segmentation(spark: SparkSession, base: str) -> DataFrame:
     from lakemart.plans.gold import build_segmentation
@@ -453,7 +551,18 @@ def q_mart_returns(spark: SparkSession, base: str) -> DataFrame:
     from lakemart.plans.gold import build_returns
     from lakemart.session import scratch_path
     return build_returns(spark, silver_frame(spark, base), scratch_path(spark, "predictive_returns"),
-                         database=None)
+                         database=None).drop("row_block")
+
+
+@query("mart_returns_table", ORACLE["mart_returns"])
+def q_mart_returns_table(spark: SparkSession, base: str) -> DataFrame:
+    """The returns mart built twice and read by its table name."""
+    from lakemart.plans.gold import build_returns
+    from lakemart.session import scratch_path
+    silver = silver_frame(spark, base)
+    for _ in range(2):
+        build_returns(spark, silver, scratch_path(spark, "predictive_returns"), database="gold")
+    return spark.table("gold.predictive_returns").drop("row_block")
 
 
 # ------------------------------------------------------ serving and report
@@ -596,6 +705,19 @@ def q_union_by_name(spark: SparkSession, base: str) -> DataFrame:
                              staged_supplier_json(spark, base), supplier_feed_spec())
 
 
+@query("conform_union_files", "SELECT CAST(datasetId AS BIGINT) AS datasetId, name, CAST(state AS BIGINT) AS state, county, type, "
+                             "geoX, geoY, dateEnd, id FROM (" + CONFORM_A_SQL + ") a UNION ALL " + CONFORM_B_SQL)
+def q_conform_union_files(spark: SparkSession, base: str) -> DataFrame:
+    """Feed A from a headered CSV with inferred types, feed B from JSON, conformed and stacked."""
+    from lakemart.plans.conform import conform_files
+    from lakemart.session import scratch_path
+    from lakemart.sources.sinks import write_csv, write_json
+    a, b = scratch_path(spark, "conform-a"), scratch_path(spark, "conform-b")
+    write_csv(_t(spark, base, "customer"), a, header=True)
+    write_json(supplier_documents(spark, base), b)
+    return conform_files(spark, a, customer_feed_spec(), b, supplier_feed_spec())
+
+
 @query("union_positional", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer
 UNION ALL
@@ -683,8 +805,47 @@ def q_derive_modes(spark: SparkSession, base: str) -> DataFrame:
     return amplified_derive(p, "col", copies=60)
 
 
+DERIVE_PLAIN_SQL = """
+SELECT p_partkey, CAST(p_size AS DOUBLE) AS lcl, p_retailprice AS ucl FROM part CROSS JOIN range(61) r"""
+
+
+def _amplified(spark: SparkSession, base: str, mode: str) -> DataFrame:
+    from lakemart.plans.derive import amplified_derive
+    p = _t(spark, base, "part").select(
+        "p_partkey", F.col("p_size").cast("double").alias("Lower Confidence Limit"),
+        F.col("p_retailprice").alias("Upper Confidence Limit"))
+    return amplified_derive(p, mode, copies=60)
+
+
+@query("derive_noop", DERIVE_PLAIN_SQL)
+def q_derive_noop(spark: SparkSession, base: str) -> DataFrame:
+    return _amplified(spark, base, "noop")
+
+
+@query("derive_full", DERIVE_PLAIN_SQL)
+def q_derive_full(spark: SparkSession, base: str) -> DataFrame:
+    """The derived columns are added and dropped again."""
+    return _amplified(spark, base, "full")
+
+
 # ------------------------------------------------------------ vertical split
 
+@query("split_csv_job", ORACLE["csv_header_scan"])
+def q_split_csv_job(spark: SparkSession, base: str) -> DataFrame:
+    """A wide CSV cut into two headered CSV files that share two id columns; both read back and joined."""
+    from lakemart.operators.project import rejoin
+    from lakemart.plans.split import split_csv
+    from lakemart.session import scratch_path
+    from lakemart.sources.files import read_csv
+    from lakemart.sources.sinks import write_csv
+    ids = ["o_orderkey", "o_custkey"]
+    wide = _t(spark, base, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    source, left, right = (scratch_path(spark, f"split-{n}") for n in ("wide", "left", "right"))
+    write_csv(wide, source, header=True)
+    split_csv(spark, source, left, right, ids)
+    return rejoin([read_csv(spark, left), read_csv(spark, right)], ids).select(*wide.columns)
+
+
 ORDERS_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 

@@ -58,7 +58,7 @@ def test_rank_has_no_single_partition_exchange(spark):
     info, act = fx.shopper_feeds(spark, SF_SMALL)
     _, ranked = ranked_rows(info, act, rank_method="ranged")
     p = plan(ranked)
-    assert "rangepartitioning" in p
+    assert "spark_partition_id" not in p
     assert "SinglePartition" not in p
 
 
@@ -74,30 +74,35 @@ def test_bronze_day_range_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan(picked)
 
 
-def test_sizing_scales_with_input_and_keeps_submitted_settings(spark, tmp_path):
-    from lakemart.session import size_for_input, sized_conf
-    small = sized_conf(10 << 20, 8)
-    assert small["spark.sql.shuffle.partitions"] == "16"
-    assert small["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
-    big = sized_conf(100 << 40, 8000)     # 100 TB on 8,000 cores
-    assert int(big["spark.sql.files.maxPartitionBytes"]) == 1 << 30
-    assert int(big["spark.sql.shuffle.partitions"]) <= 20000
-    assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
-    # the test session was built with shuffle partitions set, so that one stays
-    spark.range(100).write.parquet(str(tmp_path / "in"))
-    sizing = size_for_input(spark, [str(tmp_path / "in")])
-    assert "spark.sql.shuffle.partitions" not in sizing
-    assert sizing["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
-
-
 def test_feeds_share_one_per_customer_aggregate(spark):
     from lakemart.plans import fixtures as fx
     from lakemart.plans.silver import join_feeds
-    small = plan(join_feeds(*fx.shopper_feeds(spark, SF_SMALL)))
-    assert "orders.parquet" in small            # a small orders input is aggregated in place
-    info, act = fx.shopper_feeds(spark, SF_SMALL, write_once_bytes=0)
-    p = plan(join_feeds(info, act))
-    # large input: orders work happened once, in the write of the per-customer table;
-    # both feeds scan that table instead of aggregating orders again
+    p = plan(join_feeds(*fx.shopper_feeds(spark, SF_SMALL)))
+    # orders work happened once, in the write of the per-customer table; both
+    # feeds scan that table instead of aggregating orders again
     assert "orders.parquet" not in p
     assert p.count("per-customer") >= 2
+
+
+def test_rank_moves_the_data_four_times_at_most(spark):
+    from lakemart.operators.enrich import rank_within
+    from lakemart.session import scoped_conf
+    df = read_table_file(spark, SF_SMALL, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        big = [line for line in plan(rank_within(df, "o_orderpriority", "o_totalprice", "r")).splitlines()
+               if " Exchange hashpartitioning" in line]
+    # pairs, pairs by block, both sides of the join back; the join with the boundary values
+    # moves the pairs once more only where those are too many to broadcast, block totals are tiny
+    keys = [line.split("hashpartitioning(")[1].split(")")[0] for line in big]
+    assert sum("o_totalprice" in k or "_rv" in k for k in keys) <= 3
+    assert not any("spark_partition_id" in line for line in big)
+
+
+def test_page_reads_only_its_directories(spark, tmp_path):
+    from lakemart.operators.paging import page_by_row_no
+    from lakemart.plans.gold import build_returns
+    silver = spark.range(300).selectExpr("id AS user_id", "1 AS age", "1.0D AS income_level", "0.5D AS return_rate")
+    mart = build_returns(spark, silver, str(tmp_path / "mart"), database=None)
+    picked = page_by_row_no(mart, 2, 50)
+    assert [r["user_id"] for r in picked.collect()] == list(range(50, 100))
+    assert "PartitionFilters: [isnotnull(row_block" in plan(picked)

@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from lakemart.operators.enrich import rank_within
+from lakemart.operators.enrich import _block, rank_within
 from lakemart.session import scoped_conf
 from lakemart.sources.sinks import write_partitioned
 
@@ -14,17 +14,26 @@ def test_hot_group_is_cut_into_several_rank_blocks(spark):
     # one country with 90% of the rows and all-distinct values
     rows = [("hot", float(i)) for i in range(9000)] + [(f"c{i % 9}", float(i)) for i in range(1000)]
     df = spark.createDataFrame(rows, "country string, v double")
-    pairs = df.groupBy("country", "v").agg(F.count(F.lit(1)).alias("_n"))
-    blocks = (pairs.repartitionByRange(16, F.col("country").asc_nulls_first(), F.col("v").desc_nulls_last())
-                   .withColumn("_blk", F.spark_partition_id())
-                   .filter("country = 'hot'").groupBy("_blk").count().collect())
-    assert len(blocks) >= 8                         # the hot group spans many tasks
+    cuts = df.filter("country = 'hot'").agg(F.percentile_approx("v", [i / 16 for i in range(1, 16)], 160).alias("b"))
+    blocks = (df.filter("country = 'hot'").crossJoin(cuts).withColumn("_blk", _block("v", "b", True))
+                .groupBy("_blk").count().collect())
+    assert len(blocks) >= 8                         # the hot group spans many blocks
     assert max(r["count"] for r in blocks) < 3000   # and none holds most of it
     ranked = rank_within(df, "country", "v", "r", method="ranged", blocks=16)
     hot = ranked.filter("country = 'hot'").agg(F.min("r"), F.max("r"), F.countDistinct("r")).first()
     assert tuple(hot) == (1, 9000, 9000)
 
 
+def test_hot_value_becomes_one_pair(spark):
+    # one value holds 90% of the rows: it is counted, not moved row by row, and ranks as a tie
+    from pyspark.sql import Window
+    df = spark.createDataFrame([("c", 5.0)] * 9000 + [("c", float(i)) for i in range(1000)], "country string, v double")
+    want = df.withColumn("r", F.rank().over(Window.partitionBy("country").orderBy(F.col("v").desc())))
+    for method in ("ranged", "window"):
+        got = rank_within(df, "country", "v", "r", method=method, blocks=16)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_hot_day_is_split_across_files(spark, tmp_path):
     rows = [(i, 2024, 1, 1) for i in range(20000)] + [(i, 2024, 1, 2 + i % 5) for i in range(500)]
     df = spark.createDataFrame(rows, "id long, year int, month int, day int").repartition(8)

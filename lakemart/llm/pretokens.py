@@ -15,7 +15,7 @@ import unicodedata
 import numpy as np
 from tokenizers import Tokenizer
 
-from lakemart.llm.textops import Chunk, _power_tables, mix64
+from lakemart.llm.textops import Chunk, KeyTable, _power_tables, mix64
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: Unicode White_Space (fixed values).
@@ -96,9 +96,9 @@ class PieceIds:
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.count = np.zeros(0, np.int32)
-        self.at = np.zeros(0, np.int64)
+        self.table, self.n = KeyTable(), 0
+        self.count = np.zeros(1 << 16, np.int64)
+        self.at = np.zeros(1 << 16, np.int64)
         self.ids = np.zeros(1 << 16, np.uint32)
         self.used = 0
 
@@ -109,16 +109,16 @@ class PieceIds:
         found = [self._encode(p) for p in pieces]
         count = np.fromiter(map(len, found), np.int32, len(found))
         total = int(count.sum())
-        if self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(total, len(self.ids)), np.uint32)])
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while self.n + len(keys) > len(self.count):
+            self.count, self.at = (np.concatenate([v, np.zeros_like(v)]) for v in (self.count, self.at))
+        own = slice(self.n, self.n + len(keys))
         self.ids[self.used:self.used + total] = np.fromiter((x for f in found for x in f), np.uint32, total)
-        at = self.used + np.concatenate([[0], np.cumsum(count)[:-1]])
+        self.count[own], self.at[own] = count, self.used + np.cumsum(count) - count
+        self.table.add(keys, np.arange(self.n, self.n + len(keys)))
+        self.n += len(keys)
         self.used += total
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.count = np.concatenate([self.count, count])[order]
-        self.at = np.concatenate([self.at, at])[order]
 
     def encode(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a chunk's texts one after the other, and each text's bounds in them."""
@@ -134,17 +134,16 @@ class PieceIds:
             value = (points.astype(np.uint64) + np.uint64(0x2545F491)) * np.uint64(0xD1342543DE82EF95)
             np.cumsum((value ^ (value >> np.uint64(29))) * up[:len(points)], out=sums[1:])
             key = mix64((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
-        unique, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.keys) > MOST_PIECES:
+        if self.n > MOST_PIECES:
             self.clear()
-        slot = np.minimum(np.searchsorted(self.keys, unique), max(0, len(self.keys) - 1))
-        missing = np.flatnonzero(self.keys[slot] != unique) if len(self.keys) else np.arange(len(unique))
+        slot = self.table.find(key)
+        missing = np.flatnonzero(slot < 0)
         if len(missing):
-            m = first[missing]
-            self._add(unique[missing], [points[a:b].tobytes().decode("utf-32-le") for a, b in zip(begin[m], end[m], strict=True)])
-            slot = np.searchsorted(self.keys, unique)
-        slot = slot[inverse]
-        count = self.count[slot].astype(np.int64)
+            new, first = np.unique(key[missing], return_index=True)
+            m = missing[first]
+            self._add(new, [points[a:b].tobytes().decode("utf-32-le") for a, b in zip(begin[m], end[m], strict=True)])
+            slot[missing] = self.table.find(key[missing])
+        count = self.count[slot]
         stop = np.cumsum(count)
         total = int(stop[-1])
         ids = self.ids[np.repeat(self.at[slot] - (stop - count), count) + np.arange(total)]

@@ -162,3 +162,48 @@ def as_list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) ->
     """A list column from concatenated values and the length of each row's list."""
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))
+
+
+class KeyTable:
+    """Numbers by 64-bit key (scrambled, none twice), found for whole arrays at once: open addressing."""
+
+    def __init__(self, bits: int = 16):
+        self.bits, self.size = bits, 0
+        self.keys, self.numbers = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int64)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 where it has none."""
+        keys = np.maximum(keys, np.uint64(1))  # 0 marks a free place
+        at = self._place(keys)
+        held = self.keys[at]
+        out = np.where(held == keys, self.numbers[at], -1)
+        open_ = np.flatnonzero((held != keys) & (held != 0))
+        at = at[open_]
+        while len(open_):
+            at = (at + 1) & (len(self.keys) - 1)
+            held, own = self.keys[at], keys[open_]
+            hit = held == own
+            out[open_[hit]] = self.numbers[at[hit]]
+            go = ~hit & (held != 0)
+            open_, at = open_[go], at[go]
+        return out
+
+    def add(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        """Keys that are not in the table, none twice."""
+        keys = np.maximum(keys, np.uint64(1))
+        if 2 * (self.size + len(keys)) > len(self.keys):
+            old = self.keys[self.keys != 0], self.numbers[self.keys != 0]
+            self.__init__(max(self.bits + 1, int(2 * (len(old[0]) + len(keys))).bit_length()))
+            self.add(*old)
+        self.size += len(keys)
+        at = self._place(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[at] == 0)
+            place, first = np.unique(at[free], return_index=True)
+            self.keys[place], self.numbers[place] = keys[free[first]], numbers[free[first]]
+            rest = np.ones(len(keys), bool)
+            rest[free[first]] = False
+            keys, numbers, at = keys[rest], numbers[rest], (at[rest] + 1) & (len(self.keys) - 1)

@@ -55,22 +55,52 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     Alternating large-star and small-star steps: each is one aggregate and one
     join on the vertex, so a vertex with very many edges is pre-aggregated and
     its join is split by AQE. Every round is written under the shared checkpoint
-    folder; rounds grow with the logarithm of the component size."""
-    current = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    seen = None
+    folder; rounds grow with the logarithm of the component size. It ends when
+    each larger id has one edge and no smaller end is itself a larger one."""
+    current = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
     while True:
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        low = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low2, "u")
-        small = (small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .union(low2.select("u", F.col("m").alias("v"))).distinct())
-        current = cut_lineage(small, name)
-        state = current.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == seen:
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select("u", F.explode(F.array("v", "m")).alias("v"), "m")
+        small = small.select(F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"))
+        current = cut_lineage(small.distinct(), name)
+        ends = current.select("u", F.lit(1).alias("larger"), F.lit(0).alias("smaller")).union(
+            current.select("v", F.lit(0), F.lit(1)))
+        ends = ends.groupBy("u").agg(F.sum("larger").alias("larger"), F.max("smaller").alias("smaller"))
+        if ends.where("larger + smaller > 1").isEmpty():
             break
-        seen = state
     members = current.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return members.union(current.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def block_pairs(members: DataFrame, group: str, block_rows: int, both_ways: bool = True) -> DataFrame:
+    """``members`` dealt out so that each group of the columns ``only, i, j`` holds what one task
+    compares: many small groups whole, or for a group of more than ``block_rows`` rows a pair of
+    its blocks (each pair twice if ``both_ways``). ``is_row`` and ``is_col`` say on which side of the
+    comparison a row stands. A row of a group of n rows comes n / ``block_rows`` times."""
+    columns = members.columns
+    sizes = members.groupBy(F.col(group).alias("_group")).agg(F.count("*").alias("_size"))
+    packs = max(1, members.count() // (8 * block_rows))
+    placed = members.join(sizes, F.col(group) == F.col("_group")).withColumn("_parts", F.ceil(F.col("_size") / block_rows).cast("int"))
+    placed = placed.withColumn("_part", F.pmod(F.xxhash64("id", F.lit(1)), "_parts").cast("int"))
+    small = placed.where("_parts = 1").select(
+        F.lit(None).cast("long").alias("only"), F.pmod(F.xxhash64(group), F.lit(packs)).cast("int").alias("i"),
+        F.lit(0).alias("j"), F.lit(True).alias("is_row"), F.lit(True).alias("is_col"), *columns)
+    large = placed.where("_parts > 1").withColumn("_other", F.explode(F.expr("sequence(0, _parts - 1)")))
+    sides = [(large.where(w), i, j, r) for w, i, j, r in (
+        ("true" if both_ways else "_part <= _other", "_part", "_other", True),
+        ("true" if both_ways else "_other <= _part", "_other", "_part", False))]
+    for frame, i, j, r in sides:
+        small = small.union(frame.select(F.col(group).alias("only"), F.col(i).alias("i"), F.col(j).alias("j"),
+                                         F.lit(r).alias("is_row"), F.lit(not r).alias("is_col"), *columns))
+    return small
+
+
+def segments(values) -> list[tuple[int, int]]:
+    """Bounds of the runs of equal values."""
+    if not len(values):
+        return []
+    cuts = [0, *((values[1:] != values[:-1]).nonzero()[0] + 1).tolist(), len(values)]
+    return list(zip(cuts[:-1], cuts[1:], strict=True))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import connected_components, llm_query, table
+from lakemart.llm.common import block_pairs, connected_components, llm_query, segments, table
 from lakemart.llm.textops import as_list_array, mix64
 from lakemart.llm.vectors import by_length, matrix_of
 from lakemart.session import cut_lineage
@@ -150,36 +150,18 @@ def _verified(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
 def _link_counts(members: DataFrame, least: float) -> DataFrame:
     """``(id, links)``: how many vectors, copies counted, each class of a component links with, itself included.
     ``members``: id, component, copies, vector."""
-    sizes = members.groupBy("component").agg(F.count("*").alias("size"))
-    total = members.count()
-    packs = max(1, total // (8 * BLOCK_ROWS))
-    placed = members.join(sizes, "component")
-    parts = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
-    placed = placed.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), "parts").cast("int"))
-    small = placed.where("parts = 1").select(
-        F.lit(None).cast("long").alias("only"), F.pmod(F.xxhash64("component"), F.lit(packs)).cast("int").alias("i"), F.lit(0).alias("j"),
-        "component", "id", "copies", "vector", F.lit(True).alias("row"), F.lit(True).alias("col"))
-    large = placed.where("parts > 1").withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-    pairs = [("part", "other", True, False), ("other", "part", False, True)]
-    large = [large.select(F.col("component").alias("only"), F.col(i).cast("int").alias("i"), F.col(j).cast("int").alias("j"),
-                          "component", "id", "copies", "vector", F.lit(r).alias("row"), F.lit(c).alias("col")) for i, j, r, c in pairs]
-    rows = small.union(large[0]).union(large[1])
+    rows = block_pairs(members.select("component", "id", "copies", "vector"), "component", BLOCK_ROWS)
 
     def run(key, group):
         group = group.sort_by("component")
-        component = group.column("component").to_numpy()
         ids, copies = group.column("id").to_numpy(), group.column("copies").to_numpy()
-        is_row = group.column("row").to_numpy(zero_copy_only=False).astype(bool)
-        is_col = group.column("col").to_numpy(zero_copy_only=False).astype(bool)
-        x = matrix_of(group.column("vector")) if len(set(group.column("vector").combine_chunks().value_lengths().to_pylist())) == 1 else None
+        is_row, is_col = (group.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("is_row", "is_col"))
         out_id, out_n = [], []
-        cuts = np.flatnonzero(np.concatenate([[True], component[1:] != component[:-1], [True]]))
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            own = _unit(x[a:b] if x is not None else np.array(group.column("vector").slice(a, b - a).to_pylist()))
-            r, c = own[is_row[a:b]], own[is_col[a:b]]
-            near = r @ c.T >= least
-            out_id.append(ids[a:b][is_row[a:b]])
-            out_n.append(near @ copies[a:b][is_col[a:b]])
+        for a, b in segments(group.column("component").to_numpy()):
+            own = _unit(matrix_of(group.column("vector").slice(a, b - a)))  # a component has one length
+            r, c = is_row[a:b], is_col[a:b]
+            out_id.append(ids[a:b][r])
+            out_n.append((own[r] @ own[c].T >= least) @ copies[a:b][c])
         return pa.table({"id": np.concatenate(out_id).astype(np.int64), "links": np.concatenate(out_n).astype(np.int64)})
     counted = rows.groupBy("only", "i", "j").applyInArrow(run, "id long, links long")
     return counted.groupBy("id").agg(F.sum("links").alias("links"))

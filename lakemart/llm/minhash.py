@@ -10,15 +10,17 @@ its set. Steps, each a Spark job over the whole table:
    ``least_overlap``), so each class enters only the lists of its rarest shared
    values, all but ``o - 1`` of them: a passage common to very many texts is
    skipped unless a text holds little else, and a class that shares fewer than
-   ``o`` values leaves at once.
-3. Star rounds. In each list that still holds several components, the members
-   are compared with one hub. A group of near copies joins up in linear work.
-4. Closing round. Every pair in a list whose members are still in different
-   components is compared, so no link between components is lost; pairs within
-   one component can't change the result.
-
-A comparison first estimates similarity on the union's sketch, then counts the
-intersection of the full sets and applies ``100 * i >= percent * u``.
+   ``o`` values leaves at once. Of the classes left the full sets are made, and those
+   leave of whose shingles too few are in any other of these sets.
+3. Star round. In each list the members are compared with three hubs. A group of
+   near copies joins up in linear work.
+4. Closing round. Components that meet in a list that still holds several are
+   compared, each member with each, so no link between components is lost; pairs
+   within one component can't change the result. No pair becomes a row: blocks of
+   sets are multiplied inside tasks (see ``_closing_links``).
+
+The star round first estimates similarity on the union's sketch; both rounds
+count the intersection of the full sets and apply ``100 * i >= percent * u``.
 Sets hold 64-bit hashes of shingles.
 """
 
@@ -33,13 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import connected_components, llm_query, table
+from lakemart.llm.common import block_pairs, connected_components, llm_query, segments, table
 from lakemart.llm.textops import as_list_array, find_words, shingles, text_chunks
 from lakemart.session import cut_lineage
 
 SKETCH_SIZE = 64
+BLOCK_ROWS = 1024  # sets of a group that are compared at once with as many others
+MATRIX_COLUMNS = 2048
 MISS = 1e-6  # chance at most that a link at the threshold is not seen in the sketches
-STAR_ROUNDS = 2
 
 FEATURES = "doc_id long, n_shingles long, fp_a long, fp_b long, sketch array<long>"
 
@@ -90,24 +93,27 @@ def shingle_features(docs: DataFrame, width: int, k: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """``(id, members)``: each row's whole set, sorted, and the number of its class."""
+    """``(id, rep, members)``: the number of each row's class, its doc_id, its whole set sorted."""
     def run(batches):
         for batch in batches:
-            rows, size = [], 0
-            for _, values in _sets(batch, width):
-                rows.append(values)
-                size += len(values)
+            at, rows, size = [], [], 0
+            for i, values in _sets(batch, width):
+                if len(values):
+                    at.append(i)
+                    rows.append(values)
+                    size += len(values)
                 if size > 1 << 20:
-                    yield pack(rows)
-                    rows, size = [], 0
+                    yield pack(batch, at, rows)
+                    at, rows, size = [], [], 0
             if rows:
-                yield pack(rows)
+                yield pack(batch, at, rows)
 
-    def pack(rows):
-        ids = [_fingerprint(r)[0] if len(r) else None for r in rows]
+    def pack(batch, at, rows):
+        ids = np.array([_fingerprint(r)[0] for r in rows])
         members = as_list_array(np.concatenate(rows), np.array([len(r) for r in rows]), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), members], ["id", "members"])
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "id long, members array<long>")
+        return pa.RecordBatch.from_arrays([pa.array(ids), batch.column("doc_id").take(pa.array(at)), members],
+                                          ["id", "rep", "members"])
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, "id long, rep long, members array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int, need) -> DataFrame:
@@ -144,49 +150,38 @@ def near_duplicates(docs: DataFrame, width: int, percent: int, k: int = SKETCH_S
     usable = features.where("n_shingles > 0 AND doc_id IS NOT NULL")
     # a class is a distinct set; half of its 128-bit fingerprint numbers it, as rows may repeat a doc_id
     classes = cut_lineage(
-        usable.groupBy("fp_a", "fp_b").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-                                           F.first("sketch").alias("sketch")), "op1-classes")
-    lists = classes.select(F.col("fp_a").alias("id"), "rep", "n", F.explode("sketch").alias("value"))
-    frequent = lists.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = (lists.join(frequent, "value").groupBy("id", "rep", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared")))
-    keep = F.size("shared") - need(F.col("n")) + 1
-    postings = cut_lineage(
-        ranked.where(keep > 0).select("id", "rep", "n", F.explode(F.slice("shared", F.lit(1), keep)).alias("s"))
-        .select(F.col("s.value").alias("value"), "id", "rep", "n"), "op1-postings")
+        usable.groupBy(F.col("fp_a").alias("id"), "fp_b").agg(
+            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
+        "op1-classes")
+    postings = cut_lineage(_postings(classes, need), "op1-postings")
     members = postings.select(F.col("rep").alias("doc_id")).distinct()
-    sets = cut_lineage(full_sets(docs.select("doc_id", "text").join(members, "doc_id", "left_semi"), width)
-                       .dropDuplicates(["id"]), "op1-sets")
-
-    edges, labels = None, None
-    for step in range(STAR_ROUNDS + 1):
-        lists = postings.withColumn("component", F.col("id"))
-        if labels is not None:
-            lists = postings.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        similar_size = F.least("n", "hn") * 100 >= F.greatest("n", "hn") * percent
-        bounds = [F.min("component").alias("lo"), F.max("component").alias("hi")]
-        if step < STAR_ROUNDS:
-            turn = F.xxhash64("id", F.lit(step)) if step else F.col("rep")
-            hub = F.min(F.struct(turn.alias("turn"), "id", "n", "component"))
-            hubs = (lists.groupBy("value").agg(hub.alias("h"), *bounds).where("lo <> hi")
-                    .select("value", F.col("h.id").alias("hub"), F.col("h.n").alias("hn"),
-                            F.col("h.component").alias("hc")))
-            pairs = lists.join(hubs, "value").where("component <> hc").where(similar_size)
-        else:
-            mixed = lists.groupBy("value").agg(*bounds).where("lo <> hi").select("value")
-            open_lists = cut_lineage(lists.join(mixed, "value", "left_semi"), "op1-open")
-            other = open_lists.select("value", F.col("id").alias("hub"), F.col("n").alias("hn"),
-                                      F.col("component").alias("hc"))
-            pairs = open_lists.join(other, "value").where("component < hc").where(similar_size)
-        pairs = pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-        links = cut_lineage(_verified(pairs, sets, percent, need), "op1-links")
-        edges = links if edges is None else edges.union(links)
-        labels = connected_components(edges)
-
-    linked = classes.select(F.col("fp_a").alias("id"), "fp_b", "rep").join(labels, "id")
+    sets = cut_lineage(full_sets(docs.select(F.col("doc_id").cast("long"), "text").join(members, "doc_id", "left_semi")
+                                 .dropDuplicates(["doc_id", "text"]), width), "op1-sets")
+    postings = cut_lineage(postings.join(_with_partners(sets, percent), "id", "left_semi"), "op1-lists")
+
+    similar_size = F.least("n", "hn") * 100 >= F.greatest("n", "hn") * percent
+    pair = [F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")]
+    hubs = (postings.groupBy("value").agg(F.count("*").alias("c"), *[
+                F.min(F.struct(turn.alias("turn"), "id", "n")).alias(f"h{i}")
+                for i, turn in enumerate((F.col("rep"), F.col("id"), -F.col("id")))])
+            .where("c > 1").select("value", F.explode(F.array("h0", "h1", "h2")).alias("h"))
+            .select("value", F.col("h.id").alias("hub"), F.col("h.n").alias("hn")))
+    stars = postings.join(hubs, "value").where("id <> hub").where(similar_size).select(*pair).distinct()
+    edges = cut_lineage(_verified(stars, sets, percent, need), "op1-links")
+    labels = cut_lineage(connected_components(edges), "op1-labels")
+
+    lists = postings.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = (lists.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("lo <> hi").select("value", "lo"))
+    open_lists = cut_lineage(lists.join(mixed, "value").select("id", "component", "lo").distinct(), "op1-open")
+    if not open_lists.isEmpty():
+        more = cut_lineage(_closing_links(open_lists, sets, percent), "op1-links")
+        if not more.isEmpty():
+            labels = cut_lineage(connected_components(edges.union(more)), "op1-labels")
+
+    linked = sets.select("id", "rep").join(labels, "id")
     lowest = linked.groupBy("component").agg(F.min("rep").alias("lowest"))
-    named = (classes.select(F.col("fp_a").alias("id"), "fp_b", "rep")
-             .join(linked.join(lowest, "component").select("id", "fp_b", "lowest"), ["id", "fp_b"], "left")
+    named = (classes.select("id", "fp_b", "rep").join(linked.join(lowest, "component").select("id", "lowest").distinct(), "id", "left")
              .select(F.col("id").alias("fp_a"), "fp_b", F.coalesce("lowest", "rep").alias("component")))
     out = features.drop("sketch").join(named, ["fp_a", "fp_b"], "left")
     own = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
@@ -195,14 +190,89 @@ def near_duplicates(docs: DataFrame, width: int, percent: int, k: int = SKETCH_S
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def _closing_links(open_lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between components that meet in open lists (``id, component, lo``: a member, its
+    component and the least component in its list), enough of them to join what they join.
+
+    Components that meet, directly or through others, form a group. The members of a group are
+    compared in blocks: a matrix product over the shingles gives all intersections of two blocks, and
+    a task emits one link a member at most."""
+    meet = open_lists.select(F.col("component").alias("a"), F.col("lo").alias("b")).where("a <> b").distinct()
+    groups = connected_components(meet).select(F.col("id").alias("component"), F.col("component").alias("meeting"))
+    members = (open_lists.select("id", "component").distinct().join(groups, "component")
+               .join(sets.select("id", "members"), "id").select("meeting", "id", "component", "members"))
+    rows = block_pairs(cut_lineage(members, "op1-members"), "meeting", BLOCK_ROWS, both_ways=False)
+
+    def run(key, group):
+        group = group.sort_by("meeting")
+        ids, component = group.column("id").to_numpy(), group.column("component").to_numpy()
+        is_row, is_col = (group.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("is_row", "is_col"))
+        found = []
+        for a, b in segments(group.column("meeting").to_numpy()):
+            sets = group.column("members").slice(a, b - a).combine_chunks()
+            link = _linked(sets.flatten().to_numpy(), np.asarray(sets.value_lengths()), is_row[a:b], is_col[a:b], percent)
+            link &= component[a:b][:, None] != component[a:b][None]
+            name = np.arange(b - a)
+            while True:  # the least member that each reaches by links
+                low = np.minimum(name, np.where(link, name[None], b - a).min(1))
+                low = np.minimum(low, low[low])
+                if (low == name).all():
+                    break
+                name = low
+            joined = np.flatnonzero(name != np.arange(b - a))
+            found.append(np.stack([ids[a + joined], ids[a + name[joined]]]))
+        found = np.concatenate(found, axis=1).astype(np.int64)
+        return pa.table({"a": found[0], "b": found[1]})
+    return rows.groupBy("only", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def _linked(values: np.ndarray, sizes: np.ndarray, is_row: np.ndarray, is_col: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets (one after the other in ``values``) are linked, those on the one side with those on the other."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(sizes), len(sizes)), np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, MATRIX_COLUMNS):
+        part = slice(*np.searchsorted(column, [lo, lo + MATRIX_COLUMNS]))
+        has = np.zeros((len(sizes), MATRIX_COLUMNS), np.float32)
+        has[row[part], column[part] - lo] = 1
+        common += has @ has.T
+    common = common.astype(np.int64)
+    link = 100 * common >= percent * (sizes[:, None] + sizes[None] - common)
+    link &= (is_row[:, None] & is_col[None]) | (is_col[:, None] & is_row[None])
+    return link
+
+
+def _postings(classes: DataFrame, need) -> DataFrame:
+    """``(value, id, rep, n)``: each class in the lists of its rarest shared values."""
+    lists = classes.select("id", "rep", "n", F.explode("sketch").alias("value"))
+    frequent = lists.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = (lists.join(frequent, "value").groupBy("id", "rep", "n")
+              .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared")))
+    keep = F.size("shared") - need(F.col("n")) + 1
+    return (ranked.where(keep > 0).select("id", "rep", "n", F.explode(F.slice("shared", F.lit(1), keep)).alias("s"))
+            .select(F.col("s.value").alias("value"), "id", "rep", "n"))
+
+
+def _with_partners(sets: DataFrame, percent: int) -> DataFrame:
+    """``id`` of the sets that may have a link: ``percent`` of the members must be in other sets, too."""
+    each = sets.select("id", F.size("members").alias("n"), F.explode("members").alias("member"))
+    shared = each.groupBy("member").agg(F.count("*").alias("df")).where("df > 1").select("member")
+    found = each.join(shared, "member").groupBy("id").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    return found.where(F.col("c") * 100 >= F.col("n") * percent).select("id")
+
+
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay when each group of near duplicates leaves one:
-    the smallest doc_id. Rows that repeat its doc_id are exact repeats and go too,
-    but for one; rows without doc_id stay."""
-    verdict = near_duplicates(docs, width, percent)
-    lost = verdict.where("NOT kept").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(lost, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    the smallest doc_id. Rows that repeat its doc_id and text go, too, but for one; a
+    doc_id that comes with several texts goes if any of them is to go. Rows without
+    doc_id stay."""
+    lost = near_duplicates(docs, width, percent).where("NOT kept").select("doc_id").distinct()
+    named = docs.where("doc_id IS NOT NULL").join(lost, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    return named.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where("doc_id IS NULL"))
 
 
 @llm_query("op1_minhash_near_dedup")

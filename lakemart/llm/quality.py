@@ -23,22 +23,22 @@ GRADE = "CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 WHEN quality = 1 THE
 GRADES = 3
 TAIL = 0.5
 RIDGE = 0.5
-STEEPEST = 15.0
+STEEPEST = 30.0  # log odds are held within this
 
 
 def _logistic(v: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(v, -STEEPEST * 2, STEEPEST * 2)))
+    return 1 / (1 + np.exp(-np.clip(v, -STEEPEST, STEEPEST)))
 
 
 class OrdinalModel:
     """Weights shared by all grades and ordered thresholds, by damped Newton steps."""
 
     def __init__(self, grades: int):
-        self.grades = grades
+        self.grades, self.weights, self.thresholds = grades, np.zeros(0), np.zeros(grades - 1)
 
     def tails(self, score: np.ndarray) -> np.ndarray:
         """P(grade >= g) for g = 1 .. grades - 1."""
-        return _logistic(np.clip(score, -STEEPEST, STEEPEST)[:, None] - self.thresholds[None])
+        return _logistic(score[:, None] - self.thresholds[None])
 
     def _slopes(self, score: np.ndarray, y: np.ndarray):
         """Log likelihood, and each row's slope and curvature in its upper and lower limit."""
@@ -53,7 +53,10 @@ class OrdinalModel:
         n, k = x.shape
         share = np.bincount(y, minlength=self.grades) + 0.5
         below = np.cumsum(share)[:-1] / share.sum()
-        self.thresholds, self.weights = np.log(below / (1 - below)), np.zeros(k)
+        known = self.weights[:k]  # columns are only added: go on from the last fit
+        if not len(known):
+            self.thresholds = np.log(below / (1 - below))
+        self.weights = np.concatenate([known, np.zeros(k - len(known))])
         value = self._value(x, y)
         step = 1.0
         for _ in range(60):

@@ -1,7 +1,7 @@
 """Operator 6: mixing sources to target weights by Sainte-Lague apportionment.
 
-A source's documents are dealt by hash into shards of about ``SHARD_WORDS`` words
-and lie there in seeded order; a shard's words form blocks of ``BLOCK_WORDS``. The
+A source's documents are dealt by hash into shards of about ``SHARD_WORDS`` words (or
+as many as make ``MOST_SHARDS`` shards in all) and lie there in seeded order; a shard's words form blocks of ``BLOCK_WORDS``. The
 mix is a number of blocks: seats go to sources by the highest quotients
 ``target / (2 * seats + 1)``, a source's seats go to its shards in the same way, and
 no shard gets over twice its blocks. A shard with ``q`` seats for ``B`` blocks takes
@@ -9,8 +9,8 @@ all its blocks ``q div B`` times, and a run of ``q mod B`` blocks from a seeded
 counted round the end. As the order is seeded, that run is a random choice of
 documents, of which only those at its ends are cut.
 
-Sums per source and per shard go to the driver: a row for each source, and one for
-each ``shard_words`` words. Which blocks a document's words lie in follows from its
+Sums per source and per shard go to the driver: a row for each source, and
+``MOST_SHARDS`` rows at most besides. Which blocks a document's words lie in follows from its
 offset, so no block is ever a row.
 """
 
@@ -30,7 +30,8 @@ WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
 MOST_COPIES = 2
 BLOCK_WORDS = 16
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 18
+MOST_SHARDS = 1 << 17  # in all, besides one a source: shards are larger where there would be more
 SEED = 2024
 
 
@@ -95,6 +96,7 @@ def mix(rows: DataFrame, seed: int = SEED, block: int = BLOCK_WORDS, shard_words
     sums = rows.groupBy("source").agg(F.sum("size").alias("n")).orderBy(F.col("source").asc_nulls_last()).collect()
     names, sizes = [r["source"] for r in sums], [r["n"] for r in sums]
     goals = targets(sizes, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(sizes))], TOTAL_SHARE * sum(sizes), MOST_COPIES)
+    shard_words = max(shard_words, sum(sizes) // MOST_SHARDS)
     shards = [max(1, -(-s // shard_words)) for s in sizes]
     plan = spark.createDataFrame([(names[i], i, sizes[i], goals[i], shards[i]) for i in range(len(names))],
                                  "source string, source_no int, source_size long, target double, shards long")

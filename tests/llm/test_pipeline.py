@@ -5,18 +5,18 @@ import random
 import corpus_pipeline
 from lakemart.session import cut_lineage
 
-from conftest import SF_SMALL
+from conftest import SF_CHECK
 
 
 def test_stages_in_order_on_documents(shipped):
-    docs = shipped.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs = shipped.read.parquet(f"{SF_CHECK}/documents.parquet")
     columns, counts = docs.columns, [docs.count()]
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = cut_lineage(stage(shipped, docs, SF_SMALL), f"test-{name}")
+        docs = cut_lineage(stage(shipped, docs, SF_CHECK), f"test-{name}")
         assert docs.columns == columns, name
         counts.append(docs.count())
     assert counts[0] > counts[1] > counts[2] > counts[3]
-    packed = corpus_pipeline.STAGES[-1][1](shipped, docs, SF_SMALL)
+    packed = corpus_pipeline.STAGES[-1][1](shipped, docs, SF_CHECK)
     ids = {r["doc_id"] for r in docs.select("doc_id").collect()}
     assert {r["doc_id"] for r in packed.select("doc_id").collect()} == ids
 

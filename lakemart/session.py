@@ -81,15 +81,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so a path can be tested with ``os.path``."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
 def qualified(spark: SparkSession, path: str) -> str:
     """A path with its file system's scheme and host, without a closing slash."""
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

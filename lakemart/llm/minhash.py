@@ -71,8 +71,8 @@ def _fingerprint(values: np.ndarray) -> np.ndarray:
     return np.frombuffer(hashlib.md5(values.tobytes(), usedforsecurity=False).digest(), np.int64)
 
 
-def shingle_features(docs: DataFrame, width: int, k: int) -> DataFrame:
-    """Per row: set size, 128-bit fingerprint of the set, bottom-k sketch."""
+def shingle_features(docs: DataFrame, width: int, k: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: set size, 128-bit fingerprint of the set, bottom-k sketch, and the columns ``carry``."""
     def run(batches):
         for batch in batches:
             n = batch.num_rows
@@ -87,9 +87,10 @@ def shingle_features(docs: DataFrame, width: int, k: int) -> DataFrame:
             sketch = np.concatenate(kept) if kept else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes), pa.array(prints[:, 0].copy()), pa.array(prints[:, 1].copy()),
-                 as_list_array(sketch, counts, pa.int64())],
-                ["doc_id", "n_shingles", "fp_a", "fp_b", "sketch"])
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, FEATURES)
+                 as_list_array(sketch, counts, pa.int64()), *[batch.column(c) for c in carry]],
+                ["doc_id", "n_shingles", "fp_a", "fp_b", "sketch", *carry])
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carry)
+    return docs.mapInArrow(run, FEATURES + "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry))
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -132,8 +133,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, need) -> DataFram
             .select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, width: int, percent: int, k: int = SKETCH_SIZE) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for each row of ``docs(doc_id, text)``.
+def near_duplicates(docs: DataFrame, width: int, percent: int, k: int = SKETCH_SIZE,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` and the columns ``carry`` for each row of ``docs(doc_id, text)``.
 
     Links texts whose shingle sets have ``100 * intersection >= percent * union``.
     Texts that are null, empty or blank have the empty set and link with nothing.
@@ -146,7 +148,7 @@ def near_duplicates(docs: DataFrame, width: int, percent: int, k: int = SKETCH_S
     def need(size):  # shared retained values of a link, for a set of this size
         return F.least(F.lit(ceiling), F.ceil(F.least(size, F.lit(k)) * percent / 100)).cast("int")
 
-    features = cut_lineage(shingle_features(docs, width, k), "op1-features")
+    features = cut_lineage(shingle_features(docs, width, k, carry), "op1-features")
     usable = features.where("n_shingles > 0 AND doc_id IS NOT NULL")
     # a class is a distinct set; half of its 128-bit fingerprint numbers it, as rows may repeat a doc_id
     classes = cut_lineage(
@@ -187,7 +189,7 @@ def near_duplicates(docs: DataFrame, width: int, percent: int, k: int = SKETCH_S
     own = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
     component = F.when(own, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), *carry)
 
 
 def _closing_links(open_lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -266,13 +268,25 @@ def _with_partners(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay when each group of near duplicates leaves one:
-    the smallest doc_id. Rows that repeat its doc_id and text go, too, but for one; a
-    doc_id that comes with several texts goes if any of them is to go. Rows without
-    doc_id stay."""
-    lost = near_duplicates(docs, width, percent).where("NOT kept").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(lost, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
-    return named.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where("doc_id IS NULL"))
+    """The rows of ``docs`` that stay when each group of near duplicates leaves one: that of the
+    smallest doc_id, and of several texts of this doc_id the one of the smallest hash.
+
+    Rows are told apart by doc_id and text, so a doc_id that comes with several texts loses
+    those alone that are to go, and near copies under one doc_id leave one. Rows that repeat a doc_id
+    and text go but for one. Rows without doc_id link like any other, and a group leaves one of them
+    beside the one with a doc_id. Blank texts are in no group."""
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    keys = [F.xxhash64(doc_id, text).alias("key"), F.xxhash64(F.lit(1), doc_id, text).alias("key_b")]
+    rows = docs.select(keys[0].alias("doc_id"), "text", doc_id.alias("own"), keys[1])
+    found = near_duplicates(rows, width, percent, carry=("own", "key_b")).withColumnRenamed("doc_id", "key")
+    chosen = (found.where("n_shingles > 0").groupBy("component_id", F.isnull("own"))
+              .agg(F.min(F.struct("own", "key", "key_b")).alias("first")).select("first.key", "first.key_b"))
+    stay = chosen.union(found.where("n_shingles = 0").select("key", "key_b"))
+    nameless_blank = doc_id.isNull() & ~F.coalesce(text, F.lit("")).rlike(r"[^ \t-\r]")
+    numbered = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    one_each = docs.where(~nameless_blank).select(*numbered, *keys).dropDuplicates(["key", "key_b"])
+    kept = one_each.join(stay, ["key", "key_b"], "left_semi")
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]).unionByName(docs.where(nameless_blank))
 
 
 @llm_query("op1_minhash_near_dedup")

@@ -84,6 +84,23 @@ def test_one_of_each_group_stays(odd_documents):
     assert sorted(i for i in ids if i) == [1, 2, 3, 4, 5, 7, 8, 9, 11] and ids.count(None) == 2
 
 
+def test_a_group_leaves_one_row_where_doc_ids_repeat(shipped):
+    rng = random.Random(11)
+    text = lambda: [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    near = lambda t: [*t[:-1], "changed"]
+    x, y, z, own, nameless = text(), text(), text(), [text() for _ in range(6)], text()
+    rows = [(5, x), (9, x), (5, y), (2, y),  # 9 goes to 5, (5, y) to 2
+            (20, z), (20, near(z)), (20, z),  # near and exact copies under one doc_id
+            *[(30, t) for t in own], (31, near(own[0])), (29, near(own[1])),  # one doc_id, many texts
+            (None, nameless), (None, nameless), (None, near(nameless)), (None, []), (None, [])]
+    docs = shipped.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(5)
+    kept = [(r["doc_id"], r["text"]) for r in keep_one(docs).collect()]
+    named = {(i, " ".join(t)) for i, t in [(5, x), (2, y), *[(30, t) for t in (own[0], *own[2:])], (29, near(own[1]))]}
+    assert {r for r in kept if r[0] not in (None, 20)} == named
+    assert [i for i, _ in kept].count(20) == 1 and len(kept) == len(named) + 1 + 3
+    assert sorted(t for i, t in kept if i is None)[:2] == ["", ""]
+
+
 def test_empty_table(no_documents):
     assert near_duplicates(no_documents, 3, 85).count() == 0
     assert keep_one(no_documents).count() == 0

@@ -1,9 +1,12 @@
-"""What the classifiers share: events of a text, a bounded labelled sample, choice of events.
+"""What the classifiers share: events of a text, a bounded labelled sample, choice of events, sparse fits.
 
 An event is a 64-bit hash: a run of letters in lower case that occurs in the text, two
 signs that end at least two of its words, signs that end three of them, or a word that
-comes three or six times in a row.
-Texts are read whole. Models are linear in the presence of chosen events.
+comes three or six times in a row. A word part, the first 5 or 8 or the last 5 bytes of a longer
+run of letters, is an event, too.
+Texts are read whole. Models are linear in the presence of events. Every event of the sample is
+a candidate, and as many get weights as reach ``LEAST_SCORE``: columns are kept as pairs (row,
+event), so their number is not bounded.
 """
 
 from __future__ import annotations
@@ -19,10 +22,9 @@ from lakemart.llm.textops import NOT_LETTER, Chunk, as_list_array, find_words, m
 from lakemart.session import cut_lineage
 
 SAMPLE_ROWS = 20_000  # labelled rows that models are fitted on, at most
-CANDIDATES = 1_000  # events kept for the choice
-LEAST_ROWS = 4  # labelled rows an event must occur in
 LEAST_SCORE = 12.0  # score statistic that an event must reach to be chosen
-MOST_EVENTS = 128
+LEAST_ROWS = 4  # with slopes of 1 at most, an event of fewer rows can't reach it
+PARTS = [(0, 5), (0, 8), (-5, 5)]  # where a word part begins, from the end if negative, and its bytes
 FOLDS = 5
 
 _SIGN = NOT_LETTER.copy()
@@ -60,6 +62,27 @@ def events(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(doc), np.concatenate(event)
 
 
+def word_parts(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """``(text number, event)`` pairs for the parts of a chunk's words."""
+    letters = find_words(chunk, NOT_LETTER)
+    doc, event = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for number, (begin, size) in enumerate(PARTS):
+        long = np.flatnonzero(letters.end - letters.start > size)
+        at = (letters.start if begin >= 0 else letters.end)[long] + begin
+        part = np.zeros((len(long), 8), np.uint8)
+        part[:, :size] = chunk.data[at[:, None] + np.arange(size)]
+        part[(part >= 65) & (part <= 90)] += 32
+        doc.append(letters.doc[long])
+        event.append(mix64(mix64(part.view(np.uint64)[:, 0]) + np.uint64((number + 1) << 40)))
+    return np.concatenate(doc), np.concatenate(event)
+
+
+def all_events(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """The events and word parts of a chunk."""
+    both = events(chunk), word_parts(chunk)
+    return np.concatenate([b[0] for b in both]), np.concatenate([b[1] for b in both])
+
+
 def labelled_events(docs: DataFrame, labels: DataFrame, targets: list, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``(fold, y array<double>, events array<long>)`` of at most ``rows`` labelled documents,
     chosen by the hash of their number. Labels or documents that are null take no part."""
@@ -71,7 +94,7 @@ def labelled_events(docs: DataFrame, labels: DataFrame, targets: list, rows: int
     def run(batches):
         for batch in batches:
             for chunk in text_chunks(batch.column("text")):
-                doc, event = events(chunk)
+                doc, event = all_events(chunk)
                 order = np.lexsort((event, doc))
                 doc, event = doc[order], event[order]
                 new = np.ones(len(doc), bool)
@@ -86,85 +109,142 @@ def labelled_events(docs: DataFrame, labels: DataFrame, targets: list, rows: int
 
 
 class Sample:
-    """Labelled rows on the driver: folds, targets, and which candidate events each row has."""
+    """Labelled rows on the driver: folds, targets, and which rows have each event. It takes
+    four bytes for each event of each sampled row."""
 
     def __init__(self, rows: DataFrame, targets: int):
-        means = rows.agg(F.count("*").alias("n"), *[F.avg(F.col("y")[j]).alias(f"m{j}") for j in range(targets)]).first()
-        self.n, self.events = means["n"], np.zeros(0, np.int64)
+        self.n, self.events = rows.count(), np.zeros(0, np.int64)
         if not self.n:
             return
-        each = rows.select("y", F.explode("events").alias("event")).groupBy("event").agg(
-            F.count("*").alias("n"), *[F.sum(F.col("y")[j]).alias(f"s{j}") for j in range(targets)])
-        scores = []
-        for j in range(targets):
-            p = min(max(means[f"m{j}"], 1e-6), 1 - 1e-6)
-            scores.append((F.col(f"s{j}") - F.col("n") * p) ** 2 / (F.col("n") * p * (1 - p) + 1))
-        best = F.greatest(*scores) if targets > 1 else scores[0]
-        # short of the best events of any target there are enough; ties go to the smaller hash
-        chosen = each.where(F.col("n") >= LEAST_ROWS).orderBy(best.desc(), "event").limit(CANDIDATES).select("event").collect()
-        self.events = np.sort(np.array([r["event"] for r in chosen], np.int64))
-        candidates = rows.sparkSession.sparkContext.broadcast(self.events)  # CANDIDATES numbers
+        each = rows.select(F.explode("events").alias("event")).groupBy("event").agg(F.count("*").alias("n"))
+        self.events = np.sort(each.where(F.col("n") >= LEAST_ROWS).select("event").toArrow().column(0).to_numpy())
+        candidates = rows.sparkSession.sparkContext.broadcast(self.events)
 
         def run(batches):
             wanted = candidates.value
             for batch in batches:
-                lists = [np.flatnonzero(np.isin(wanted, np.array(e, np.int64))).astype(np.int32)
-                         for e in batch.column("events").to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column("fold"), batch.column("y"), pa.array(lists, pa.list_(pa.int32()))],
-                                                 ["fold", "y", "has"])
-        found = rows.mapInArrow(run, "fold int, y array<double>, has array<int>").collect()  # SAMPLE_ROWS rows at most
-        found.sort()
-        self.fold = np.array([r["fold"] for r in found])
-        self.y = np.array([r["y"] for r in found], np.float64)
-        counts = [len(r["has"]) for r in found]
-        self.row = np.repeat(np.arange(len(found)), counts)
-        self.event = np.array([e for r in found for e in r["has"]], np.int64)
-
-    def column(self, event: int) -> np.ndarray:
-        out = np.zeros(self.n)
-        out[self.row[self.event == event]] = 1
-        return out
-
-
-def choose_events(sample: Sample, fit: Callable, start: np.ndarray) -> tuple[list[int], np.ndarray]:
-    """Add the event with the largest score statistic and fit anew, until none is large.
+                lists = batch.column("events")
+                row = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths()))
+                at, hit = _places(wanted, lists.flatten().to_numpy())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("fold"), batch.column("y"),
+                     as_list_array(at[hit].astype(np.int32), np.bincount(row[hit], minlength=batch.num_rows), pa.int32())],
+                    ["fold", "y", "has"])
+        found = rows.mapInArrow(run, "fold int, y array<double>, has array<int>").toArrow().combine_chunks()
+        self.fold, self.y = found.column("fold").to_numpy(), np.array(found.column("y").to_pylist(), np.float64)
+        has = found.column("has").combine_chunks()
+        event, row = has.flatten().to_numpy(), np.repeat(np.arange(self.n, dtype=np.int32), np.asarray(has.value_lengths()))
+        # an order that does not depend on the tasks: by fold, targets and events
+        name = np.zeros(self.n, np.uint64)
+        np.add.at(name, row, mix64(event.astype(np.uint64) + np.uint64(1)))
+        order = np.lexsort((name, *self.y.T, self.fold))
+        place = np.zeros(self.n, np.int32)
+        place[order] = np.arange(self.n, dtype=np.int32)
+        self.fold, self.y, row = self.fold[order], self.y[order], place[row]
+        by_event = np.argsort(event.astype(np.int64) * self.n + row)
+        self.row = row[by_event]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(event, minlength=len(self.events)))])
+
+    def rows_of(self, event: int) -> np.ndarray:
+        return self.row[self.first[event]:self.first[event + 1]]
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """For each event the sum of its rows' values."""
+        return np.add.reduceat(values[self.row], self.first[:-1])
+
+
+class Columns:
+    """A matrix of dense columns, then sparse ones of 0 and 1 as pairs of row and column."""
+
+    def __init__(self, dense: np.ndarray, row: np.ndarray, column: np.ndarray, sparse: int):
+        self.dense, self.row, self.column, self.sparse = dense, row, column, sparse
+        self.shape = (len(dense), dense.shape[1] + sparse)
+
+    def __matmul__(self, weights: np.ndarray) -> np.ndarray:
+        d = self.dense.shape[1]
+        return self.dense @ weights[:d] + np.bincount(self.row, weights[d:][self.column], self.shape[0])
+
+    def transposed(self, values: np.ndarray, dense: np.ndarray | None = None) -> np.ndarray:
+        dense = self.dense if dense is None else dense
+        return np.concatenate([dense.T @ values, np.bincount(self.column, values[self.row], self.sparse)])
+
+    def where(self, rows: np.ndarray) -> Columns:
+        number, inside = np.cumsum(rows) - 1, rows[self.row]
+        return Columns(self.dense[rows], number[self.row[inside]], self.column[inside], self.sparse)
+
+
+def transposed(x: np.ndarray | Columns, values: np.ndarray) -> np.ndarray:
+    return x.transposed(values) if isinstance(x, Columns) else x.T @ values
+
+
+def newton_change(x: np.ndarray | Columns, curve: np.ndarray, ridge: np.ndarray, gradient: np.ndarray) -> np.ndarray:
+    """Solves ``(X' diag(curve) X + diag(ridge)) change = gradient``, for sparse columns by conjugate gradients."""
+    if not isinstance(x, Columns):
+        return np.linalg.solve((x.T * curve) @ x + np.diag(ridge), gradient)
+    scale = x.transposed(curve, x.dense**2) + ridge
+    change, left = np.zeros(len(gradient)), gradient.copy()
+    step = scaled = left / scale
+    size = start = left @ scaled
+    for _ in range(10 * len(gradient)):
+        if size <= 1e-16 * start or size <= 1e-24:
+            break
+        image = x.transposed(curve * (x @ step)) + ridge * step
+        length = size / (step @ image)
+        change, left = change + length * step, left - length * image
+        scaled = left / scale
+        size, before = left @ scaled, size
+        step = scaled + size / before * step
+    return change
+
+
+def choose_events(sample: Sample, fit: Callable, start: np.ndarray) -> tuple[list[int], Columns]:
+    """Add the events with the largest score statistics (down to half of the largest) and fit anew, until none is large.
 
     ``fit(X)`` returns the model and, for each row, the slope and the curvature of its log
     likelihood in the linear predictor. ``start`` holds columns that are always in."""
     chosen: list[int] = []
-    x = start
+    none = np.zeros(0, np.int64)
+    x = Columns(start, none, none, 0)
     model, slope, curve = fit(x)
-    k = len(sample.events)
-    while k and len(chosen) < MOST_EVENTS:
-        top = np.bincount(sample.event, slope[sample.row], k)
-        score = top**2 / (np.bincount(sample.event, curve[sample.row], k) + 1)
+    while len(sample.events):
+        score = sample.sums(slope) ** 2 / (sample.sums(curve) + 1)
         score[chosen] = 0
-        best = int(np.argmax(score))
-        if score[best] < LEAST_SCORE:
+        if score.max() < LEAST_SCORE:
             break
-        chosen.append(best)
-        x = np.column_stack([x, sample.column(best)])
+        chosen += np.flatnonzero(score >= max(LEAST_SCORE, score.max() / 2)).tolist()
+        rows = [sample.rows_of(e) for e in chosen]
+        x = Columns(start, np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows]), len(rows))
         model, slope, curve = fit(x)
     return chosen, x
 
 
-def presence(chunk: Chunk, wanted: np.ndarray) -> np.ndarray:
-    """For each text of a chunk which of the ``wanted`` events (sorted) it has, as 0 and 1."""
-    out = np.zeros((chunk.n, len(wanted)))
-    if len(wanted):
-        doc, event = events(chunk)
-        event = event.view(np.int64)
-        at = np.minimum(np.searchsorted(wanted, event), len(wanted) - 1)
-        hit = wanted[at] == event
-        out[doc[hit], at[hit]] = 1
-    return out
+def _places(wanted: np.ndarray, event: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each event is in ``wanted`` (sorted), and whether it is there."""
+    if not len(wanted):
+        return np.zeros(len(event), np.int64), np.zeros(len(event), bool)
+    at = np.minimum(np.searchsorted(wanted, event), len(wanted) - 1)
+    return at, wanted[at] == event
+
+
+class Presence:
+    """Which of the ``wanted`` events (sorted) each text of a chunk has."""
+
+    def __init__(self, chunk: Chunk, wanted: np.ndarray):
+        self.n = chunk.n
+        doc, event = all_events(chunk)
+        at, hit = _places(wanted, event.view(np.int64))
+        pair = np.unique(doc[hit] * max(1, len(wanted)) + at[hit])
+        self.doc, self.event = pair // max(1, len(wanted)), pair % max(1, len(wanted))
+
+    def __matmul__(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.doc, weights[self.event], self.n)
 
 
 def score_rows(docs: DataFrame, wanted: np.ndarray, columns: list[str], predict: Callable) -> DataFrame:
-    """All columns of ``docs`` (with ``text``) and ``predict(presence)``'s columns of doubles."""
+    """All columns of ``docs`` (with ``text``) and ``predict(Presence)``'s columns of doubles."""
     def run(batches):
         for batch in batches:
-            found = [predict(presence(chunk, wanted)) for chunk in text_chunks(batch.column("text"))]
+            found = [predict(Presence(chunk, wanted)) for chunk in text_chunks(batch.column("text"))]
             values = np.concatenate(found) if found else np.zeros((0, len(columns)))
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(values[:, j].copy()) for j in range(len(columns))]],
                                              [*batch.schema.names, *columns])

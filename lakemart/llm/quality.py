@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import llm_query, table
-from lakemart.llm.labelled import Sample, choose_events, labelled_events, score_rows, training_tables
+from lakemart.llm.labelled import (
+    Columns, Presence, Sample, choose_events, labelled_events, newton_change, score_rows, training_tables, transposed,
+)
 
 GRADE = "CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 WHEN quality = 1 THEN 2 END"
 GRADES = 3
@@ -49,7 +51,7 @@ class OrdinalModel:
         p = np.maximum(a - b, 1e-12)
         return np.log(p), a * (1 - a), b * (1 - b), p, a, b
 
-    def fit(self, x: np.ndarray, y: np.ndarray):
+    def fit(self, x: np.ndarray | Columns, y: np.ndarray):
         n, k = x.shape
         share = np.bincount(y, minlength=self.grades) + 0.5
         below = np.cumsum(share)[:-1] / share.sum()
@@ -63,8 +65,8 @@ class OrdinalModel:
             _, da, db, p, a, b = self._slopes(x @ self.weights, y)
             slope = (da - db) / p
             curve = np.maximum(slope**2 - (da * (1 - 2 * a) - db * (1 - 2 * b)) / p, 1e-6)
-            gradient = x.T @ slope - RIDGE * self.weights
-            change = np.linalg.solve((x.T * curve) @ x + RIDGE * np.eye(k), gradient) if k else np.zeros(0)
+            gradient = transposed(x, slope) - RIDGE * self.weights
+            change = newton_change(x, curve, np.full(k, RIDGE), gradient) if k else np.zeros(0)
             # the thresholds' own slopes: a row's lower limit is threshold[y - 1], its upper threshold[y]
             up, curve_up = np.zeros(self.grades + 1), np.full(self.grades + 1, 1e-3)
             np.add.at(up, y, -da / p)
@@ -91,7 +93,7 @@ class OrdinalModel:
         slope = (da - db) / p
         return self, slope, np.maximum(slope**2, 1e-3)
 
-    def _value(self, x: np.ndarray, y: np.ndarray) -> float:
+    def _value(self, x: np.ndarray | Columns, y: np.ndarray) -> float:
         return float(self._slopes(x @ self.weights, y)[0].sum() - RIDGE / 2 * (self.weights**2).sum())
 
 
@@ -112,9 +114,9 @@ def grade_documents(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, g
         order = np.argsort(sample.events[chosen])
         wanted, weights = sample.events[chosen][order], model.weights[order]
 
-    def predict(has: np.ndarray) -> np.ndarray:
+    def predict(has: Presence) -> np.ndarray:
         if model is None:
-            return np.tile([grades - 1.0, 1.0], (len(has), 1))
+            return np.tile([grades - 1.0, 1.0], (has.n, 1))
         p = model.tails(has @ weights)
         return np.column_stack([p.sum(1), p[:, 0]])
     return score_rows(docs, wanted, ["expected_grade", "p_tail"], predict)

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import llm_query, table
-from lakemart.llm.labelled import FOLDS, Sample, choose_events, labelled_events, score_rows, training_tables
+from lakemart.llm.labelled import (
+    FOLDS, Columns, Presence, Sample, choose_events, labelled_events, newton_change, score_rows, training_tables, transposed,
+)
 
 CATEGORIES = ["low_quality", "toxic", "toxic_low_quality"]
 TARGETS = ["IF(quality = 0, 1, 0)", "toxic", "IF(quality = 0 AND toxic = 1, 1, 0)"]
@@ -25,18 +27,18 @@ RIDGE = 0.5
 STEEPEST = 12.0  # log odds are held within this
 
 
-def odds(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def odds(x: np.ndarray | Columns, weights: np.ndarray) -> np.ndarray:
     return np.clip(x @ weights, -STEEPEST, STEEPEST)
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def logistic(x: np.ndarray | Columns, y: np.ndarray) -> np.ndarray:
     """Weights by Newton steps; all but the first column (ones) are shrunk."""
     weights, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], RIDGE)
     ridge[0] = 1e-3
     for _ in range(25):
         p = 1 / (1 + np.exp(-odds(x, weights)))
-        slope = x.T @ (y - p) - ridge * weights
-        change = np.linalg.solve((x.T * (p * (1 - p) + 1e-9)) @ x + np.diag(ridge), slope)
+        slope = transposed(x, y - p) - ridge * weights
+        change = newton_change(x, p * (1 - p) + 1e-9, ridge, slope)
         weights = weights + np.clip(change, -4, 4)
         if np.abs(change).max() < 1e-6:
             break
@@ -62,7 +64,7 @@ def fit_chain(sample: Sample, categories: int) -> list[tuple[np.ndarray, np.ndar
         for k in range(FOLDS):
             out = sample.fold == k
             if out.any() and not out.all():
-                unseen[out] = odds(x[out], logistic(x[~out], y[~out]))
+                unseen[out] = odds(x.where(out), logistic(x.where(~out), y[~out]))
         earlier = np.column_stack([earlier, unseen])
     return models
 
@@ -76,13 +78,18 @@ def chain(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, targets: li
     models = fit_chain(sample, len(targets))
     wanted = np.unique(np.concatenate([np.zeros(0, np.int64), *[m[0] for m in models]]))
 
-    def predict(has: np.ndarray) -> np.ndarray:
-        if not models:
-            return np.zeros((len(has), len(names)))
-        x = np.ones((len(has), 1))
-        for own, weights in models:
-            both = np.column_stack([x, has[:, np.searchsorted(wanted, own)]])
-            x = np.column_stack([x, odds(both, weights)])
+    spread = []  # each model's weights of its dense columns, and of all wanted events
+    for own, weights in models:
+        dense = len(weights) - len(own)
+        spread.append((weights[:dense], np.zeros(len(wanted))))
+        spread[-1][1][np.searchsorted(wanted, own)] = weights[dense:]
+
+    def predict(has: Presence) -> np.ndarray:
+        if not spread:
+            return np.zeros((has.n, len(names)))
+        x = np.ones((has.n, 1))
+        for dense, weights in spread:
+            x = np.column_stack([x, np.clip(x @ dense + has @ weights, -STEEPEST, STEEPEST)])
         return 1 / (1 + np.exp(-x[:, 1:]))
     return score_rows(docs, wanted, [f"p_{n}" for n in names], predict)
 

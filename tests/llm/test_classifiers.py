@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from lakemart.llm.labelled import events
+from lakemart.llm.labelled import Columns, events
 from lakemart.llm.quality import OrdinalModel, good_documents, quality
 from lakemart.llm.textops import text_chunks
 from lakemart.llm.toxicity import logistic, toxicity, without_toxic
@@ -114,3 +114,42 @@ def test_events_of_a_text():
     has = [set(event[doc == i].tolist()) for i in range(len(texts))]
     assert len(has[0]) == 2 and len(has[1]) == 3 and has[1] == has[2] and not has[4] and not has[5]
     assert len(has[3]) == 3 + 2
+
+
+def test_more_words_than_128_are_learnt(shipped):
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    plain, bad = [word(4) for _ in range(300)], [word(4) for _ in range(200)]
+    docs = []
+    for i in range(9000):
+        text, toxic = [rng.choice(plain) for _ in range(8)], i % 2
+        if toxic:
+            text[rng.randrange(8)] = bad[i // 2 % 200]
+        docs.append((i, " ".join(text), 1, toxic))
+    texts = shipped.createDataFrame([d[:2] for d in docs], "doc_id long, text string").repartition(3).checkpoint()
+    labels = shipped.createDataFrame([(d[0], d[2], d[3]) for d in docs if d[0] < 8000], LABELS)
+    scored = {r["doc_id"]: r["toxic"] for r in toxicity(texts, texts, labels).collect()}
+    assert sum(scored[d[0]] == bool(d[3]) for d in docs[8000:]) >= 990
+
+
+def test_stems_are_learnt(shipped):
+    """A stem whose every form is new is known by its part."""
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    plain = [word(6) for _ in range(200)]
+    docs = [(i, " ".join([rng.choice(plain) for _ in range(12)] + (["bomente" + word(4)] if i % 3 == 0 else []))) for i in range(900)]
+    texts = shipped.createDataFrame(docs, "doc_id long, text string").repartition(3).checkpoint()
+    labels = shipped.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(600)], LABELS)
+    scored = {r["doc_id"]: r["toxic"] for r in toxicity(texts, texts, labels).collect()}
+    assert all(scored[i] == (i % 3 == 0) for i in range(600, 900))
+
+
+def test_sparse_fits_are_those_of_the_dense_matrix():
+    rng = np.random.default_rng(8)
+    x = np.column_stack([np.ones(400), rng.normal(size=400), rng.integers(0, 2, size=(400, 6))])
+    y = (rng.random(400) < 1 / (1 + np.exp(-(x @ [-1, 1, 2, -1, 0, 1, 3, -2])))).astype(float)
+    row, column = np.nonzero(x[:, 2:])
+    sparse = Columns(x[:, :2], row, column, 6)
+    assert np.allclose(logistic(sparse, y), logistic(x, y), atol=1e-5)
+    out = y > 0
+    assert np.allclose(sparse.where(out) @ np.arange(8.0), x[out] @ np.arange(8.0))

@@ -1,7 +1,8 @@
 """Operator 10: best-fit packing of documents into sequences by hierarchical residuals.
 
 Texts become token ids (a closing id after each) inside tasks, and longer ones are cut
-into pieces of ``capacity``. Then bins are built in rounds. In the first, each partition
+into pieces of ``capacity``. The pieces are dealt evenly over partitions, so that files or sources
+of one length meet the others. Then bins are built in rounds. In the first, each partition
 packs its own pieces, longest first, each into the bin it fills best. Nearly full bins are
 done; the others are items of the next round, in which groups of ``FAN_IN`` former
 partitions are packed together in the same way, up to a single group or ``MOST_ITEMS``
@@ -22,13 +23,14 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.common import llm_query, table
 from lakemart.llm.textops import text_chunks
-from lakemart.session import cut_lineage
+from lakemart.session import cut_lineage, shuffle_partitions
 
 CAPACITY = 2048
 CLOSING_ID = 0
 SLACK = 4  # a bin with less room than this is nearly full
 FAN_IN = 8
 MOST_ITEMS = 500_000
+FEW_ITEMS = 4096  # partitions are not made smaller than this
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -130,7 +132,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, fan_in: int = FAN_IN, most
         return _packed(group, key[0].as_py(), capacity).select(["item", "bin", "offset", "fill"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    placed = cut_lineage(pieces.mapInArrow(first_round, f"{schema}, bin long, offset long, fill long"), "op10-bins")
+    rows = pieces.count()
+    parts = max(1, min(-(-rows // FEW_ITEMS), max(shuffle_partitions(pieces.sparkSession), -(-rows // most_items))))
+    dealt = pieces.repartition(parts)  # evenly, in the order of a hash of the rows
+    placed = cut_lineage(dealt.mapInArrow(first_round, f"{schema}, bin long, offset long, fill long"), "op10-bins")
 
     def underfull(frame):
         return frame.where((F.col("offset") == 0) & (F.col("fill") <= capacity - SLACK)).select(
@@ -141,7 +146,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, fan_in: int = FAN_IN, most
     groups, step = 1 + (last or 0), 0
     while n > 1:
         step += 1
-        groups = max(-(-groups // fan_in), -(-n // most_items))
+        least = -(-n // most_items)
+        groups = max(-(-groups // fan_in), least)
         number = F.pmod(F.xxhash64("item", F.lit(step)), F.lit(groups)) + F.lit(step << 32)
         merged = cut_lineage(left.groupBy(number.alias("g")).applyInArrow(
             next_round, "item long, bin long, offset long, fill long"), "op10-merge")
@@ -152,9 +158,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, fan_in: int = FAN_IN, most
             up = link.select(F.col("item").alias("new"), F.col("new").alias("top"), F.col("shift").alias("more"))
             chain = chain.join(up, "new", "left").select(
                 "item", F.coalesce("top", "new").alias("new"), (F.col("shift") + F.coalesce("more", F.lit(0))).alias("shift"))
-        left, before = underfull(merged), n
+        left = underfull(merged)
         n = left.count()
-        if groups == 1 or n > 0.99 * before:
+        if groups == least:
             break
     named = [F.col(f"`{f.name}`") for f in pieces.schema]
     if chain is None:

@@ -131,3 +131,15 @@ def test_rounds_merge_what_partitions_leave(shipped, most):
     assert sorted((r["item_no"], r["length"]) for r in rows) == items and max(held.values()) <= 100
     if most > 400:
         assert len(held) <= 1.1 * len(best_fit(np.array([n for _, n in items]), 100)[2])
+
+
+def test_partitions_of_one_length_are_packed_together(shipped):
+    rng = random.Random(5)
+    items = [(i, rng.randint(1050, 1250) if i < 800 else rng.randint(750, 950)) for i in range(1600)]
+    pieces = shipped.createDataFrame(items, "item_no int, length long").repartitionByRange(8, "item_no")
+    rows = pack(pieces, capacity=2048).collect()
+    assert sorted((r["item_no"], r["length"]) for r in rows) == items
+    held = defaultdict(int)
+    for r in rows:
+        held[r["sequence_id"]] += r["length"]
+    assert max(held.values()) <= 2048 and len(held) <= 1.05 * len(best_fit(np.array([n for _, n in items]), 2048)[2])

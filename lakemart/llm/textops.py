@@ -101,14 +101,31 @@ def text_chunks(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Ch
         lo = hi
 
 
+def text_parts(chunk: Chunk, part_bytes: int = CHUNK_BYTES) -> Iterator[tuple[Chunk, int]]:
+    """A chunk as it is, or one long text in parts that end at white space, each with its place in the chunk's
+    bytes: no word is cut, and a part is longer than ``part_bytes`` only by the rest of a word."""
+    size, lo = len(chunk.data), 0
+    if chunk.n > 1 or size <= part_bytes:
+        yield chunk, 0
+        return
+    while lo < size:
+        hi = min(size, lo + part_bytes)
+        while hi < size and not _SPACE[chunk.data[hi]]:
+            step = np.flatnonzero(_SPACE[chunk.data[hi:hi + part_bytes]])
+            hi = hi + int(step[0]) if len(step) else min(size, hi + part_bytes)
+        yield Chunk(chunk.first, chunk.data[lo:hi], np.array([0, hi - lo])), lo
+        lo = hi
+
+
 #: What parts runs of letters (of any script; bytes over 127 count as letters).
 NOT_LETTER = np.ones(256, dtype=bool)
 NOT_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
-def find_words(chunk: Chunk, between: np.ndarray = _SPACE) -> Words:
-    """The words of each text of a chunk, runs of bytes not in ``between``, with the hashes of their lower case."""
-    data = _LOWER[chunk.data]
+def find_words(chunk: Chunk, between: np.ndarray = _SPACE, lower: bool = True) -> Words:
+    """The words of each text of a chunk, runs of bytes not in ``between``, with the hashes of their lower
+    case (of their own bytes without ``lower``)."""
+    data = _LOWER[chunk.data] if lower else chunk.data
     size, n = len(data), chunk.n
     if not size:
         none = np.zeros(0, np.int64)

@@ -49,6 +49,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(column: str):
+    """The column of this very name, whatever signs it holds."""
+    return F.col("`{}`".format(column.replace("`", "``")))
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``(id, component)`` for every id in ``edges(a, b)``: the smallest id reachable.
 

@@ -17,8 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from lakemart.llm.textops import NOT_LETTER, Chunk, as_list_array, find_words, mix64, text_chunks
+from lakemart.llm.common import named
+from lakemart.llm.textops import (
+    NOT_LETTER, SMALL_BYTES, Chunk, as_list_array, find_words, mix64, release_memory, text_chunks,
+)
 from lakemart.session import cut_lineage
 
 SAMPLE_ROWS = 20_000  # labelled rows that models are fitted on, at most
@@ -93,7 +97,7 @@ def labelled_events(docs: DataFrame, labels: DataFrame, targets: list, rows: int
 
     def run(batches):
         for batch in batches:
-            for chunk in text_chunks(batch.column("text")):
+            for chunk in text_chunks(batch.column("text"), SMALL_BYTES):
                 doc, event = all_events(chunk)
                 order = np.lexsort((event, doc))
                 doc, event = doc[order], event[order]
@@ -240,16 +244,33 @@ class Presence:
         return np.bincount(self.doc, weights[self.event], self.n)
 
 
-def score_rows(docs: DataFrame, wanted: np.ndarray, columns: list[str], predict: Callable) -> DataFrame:
-    """All columns of ``docs`` (with ``text``) and ``predict(Presence)``'s columns of doubles."""
+def score_rows(docs: DataFrame, wanted: np.ndarray, columns: list[str], predict: Callable, text: str = "text",
+               keep: Callable | None = None) -> DataFrame:
+    """All columns of ``docs`` and ``predict(Presence)``'s columns of doubles; with ``keep``, a condition on their
+    values, the columns of ``docs`` alone for the rows that it holds for."""
     def run(batches):
         for batch in batches:
-            found = [predict(Presence(chunk, wanted)) for chunk in text_chunks(batch.column("text"))]
+            found = [predict(Presence(chunk, wanted)) for chunk in text_chunks(batch.column(text), SMALL_BYTES)]
             values = np.concatenate(found) if found else np.zeros((0, len(columns)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(values[:, j].copy()) for j in range(len(columns))]],
-                                             [*batch.schema.names, *columns])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, schema + "".join(f", {c} double" for c in columns))
+            if keep is not None:
+                yield batch.filter(pa.array(keep(values)))
+            else:
+                yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(values[:, j].copy()) for j in range(len(columns))]],
+                                                 [*batch.schema.names, *columns])
+            release_memory()
+    more = [] if keep is not None else [StructField(c, DoubleType()) for c in columns]
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *more]))
+
+
+def kept_rows(docs: DataFrame, filtered: Callable) -> DataFrame:
+    """``filtered(rows, text)``, where ``rows`` are those of ``docs`` with their columns numbered (any names will do)
+    and ``text`` is the column of texts, under the names of ``docs`` again. Each text is sent to Python once."""
+    numbered = [named(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    own = docs.columns.index("text")
+    plain = isinstance(docs.schema.fields[own].dataType, StringType)
+    rows = docs.select(*numbered, *([] if plain else [F.col("text").cast("string").alias("as_text")]))
+    kept = filtered(rows, f"c{own}" if plain else "as_text")
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def training_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -35,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import block_pairs, connected_components, llm_query, segments, table
-from lakemart.llm.textops import as_list_array, find_words, shingles, text_chunks
+from lakemart.llm.common import block_pairs, connected_components, llm_query, named, segments, table
+from lakemart.llm.textops import SMALL_BYTES, as_list_array, find_words, release_memory, shingles, text_chunks
 from lakemart.session import cut_lineage
 
 SKETCH_SIZE = 64
@@ -60,7 +60,7 @@ def least_overlap(k: int, percent: int, miss: float = MISS) -> int:
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarray]]:
-    for chunk in text_chunks(batch.column("text")):
+    for chunk in text_chunks(batch.column("text"), SMALL_BYTES):
         values, first = shingles(find_words(chunk), width)
         values = values.view(np.int64)
         for i in range(chunk.n):
@@ -89,6 +89,7 @@ def shingle_features(docs: DataFrame, width: int, k: int, carry: tuple[str, ...]
                 [batch.column("doc_id"), pa.array(sizes), pa.array(prints[:, 0].copy()), pa.array(prints[:, 1].copy()),
                  as_list_array(sketch, counts, pa.int64()), *[batch.column(c) for c in carry]],
                 ["doc_id", "n_shingles", "fp_a", "fp_b", "sketch", *carry])
+            release_memory()
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carry)
     return docs.mapInArrow(run, FEATURES + "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry))
 
@@ -108,6 +109,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
                     at, rows, size = [], [], 0
             if rows:
                 yield pack(batch, at, rows)
+            release_memory()
 
     def pack(batch, at, rows):
         ids = np.array([_fingerprint(r)[0] for r in rows])
@@ -283,7 +285,7 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
               .agg(F.min(F.struct("own", "key", "key_b")).alias("first")).select("first.key", "first.key_b"))
     stay = chosen.union(found.where("n_shingles = 0").select("key", "key_b"))
     nameless_blank = doc_id.isNull() & ~F.coalesce(text, F.lit("")).rlike(r"[^ \t-\r]")
-    numbered = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    numbered = [named(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
     one_each = docs.where(~nameless_blank).select(*numbered, *keys).dropDuplicates(["key", "key_b"])
     kept = one_each.join(stay, ["key", "key_b"], "left_semi")
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]).unionByName(docs.where(nameless_blank))

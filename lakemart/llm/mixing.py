@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakemart.llm.common import llm_query, table
+from lakemart.llm.common import llm_query, named, table
 from lakemart.session import cut_lineage
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -91,7 +91,7 @@ def mix(rows: DataFrame, seed: int = SEED, block: int = BLOCK_WORDS, shard_words
     the shard) and the extra run ``[x1, y1)``, ``[x2, y2)`` in words of the shard, ``taken``.
 
     ``rows`` should be a table (it is read three times). Sources go by code point, null
-    last, with the weights 3, 1, 2 repeating."""
+    last, with the weights 3, 1, 2 repeating. Rows of one doc_id and size lie in the order of ``tie``, where there is one."""
     spark = rows.sparkSession
     sums = rows.groupBy("source").agg(F.sum("size").alias("n")).orderBy(F.col("source").asc_nulls_last()).collect()
     names, sizes = [r["source"] for r in sums], [r["n"] for r in sums]
@@ -123,7 +123,7 @@ def mix(rows: DataFrame, seed: int = SEED, block: int = BLOCK_WORDS, shard_words
                  .select("source_no", "shard", "rounds", (F.col("start") * block).alias("x1"),
                          F.least(F.col("stop") * block, "shard_size").alias("y1"), F.lit(0).cast("long").alias("x2"),
                          (F.greatest(F.col("stop") - F.col("blocks"), F.lit(0)) * block).alias("y2")))
-    order = Window.partitionBy("source_no", "shard").orderBy("place", "doc_id", "size")
+    order = Window.partitionBy("source_no", "shard").orderBy("place", "doc_id", "size", *(["tie"] if "tie" in rows.columns else []))
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     placed = dealt.withColumn("at", F.coalesce(F.sum("size").over(before), F.lit(0))).join(
         cell_plan, ["source_no", "shard"], "left")
@@ -152,11 +152,16 @@ def mixture(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as rows with the columns of ``docs``: a document that is taken twice
     gives two rows, one at the end of a run gives the words of the run, joined by
-    single spaces (``n_chars``, where there is one, is that text's length)."""
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = cut_lineage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), own.alias("doc")),
+    single spaces (``n_chars``, where there is one, is that text's length). Where the run goes round the end inside
+    one document, its tail and its head come as two rows. Null, empty and blank texts have no
+    words and are not taken. Rows that repeat a doc_id, or have none, are rows like any other, in an order
+    that follows from their values, so the mix does not depend on the order of the input. An empty table gives an empty result."""
+    own = F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    tie = F.sha2(F.to_json(own), 256).alias("tie")  # equal for equal rows alone, so their order is of no account
+    rows = cut_lineage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), own.alias("doc"), tie),
                        "op6-documents")
-    words = F.regexp_extract_all("doc.text", F.lit(WORD), F.lit(0))
+    at = {c: F.col(f"doc.c{i}") for i, c in enumerate(docs.columns)}
+    words = F.regexp_extract_all(at["text"], F.lit(WORD), F.lit(0))
 
     def part(x: str, y: str):
         lo = F.greatest(F.col(x) - F.col("at"), F.lit(0))
@@ -164,18 +169,20 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         return F.slice("words", (lo + 1).cast("int"), F.greatest(hi - lo, F.lit(0)).cast("int"))
 
     mixed = mix(rows).where("taken > 0")
-    extra = F.col("taken") - F.col("rounds") * F.col("size")
+    # whole copies, then the words of the run's end that lies in the document, then those of its begin past the end
     whole = F.expr("rounds + IF(taken - rounds * size = size, 1, 0)").cast("int")
-    copies = mixed.withColumn("extra", extra).withColumn("whole", whole)
-    copies = copies.withColumn("copy", F.explode(F.sequence(F.lit(1), F.expr("whole + IF(extra > 0 AND extra < size, 1, 0)"))))
-    cut = F.col("copy") > F.col("whole")
-    copies = copies.withColumn("words", F.when(cut, words))
-    new = {"text": F.when(cut, F.array_join(F.concat(part("x1", "y1"), part("x2", "y2")), " "))
-           .otherwise(F.col("doc.text"))}
+    copies = mixed.withColumn("whole", whole).withColumn(
+        "words", F.when(F.expr("taken > whole * size"), words).otherwise(F.array().cast("array<string>")))
+    pieces = F.filter(F.array(part("x1", "y1"), part("x2", "y2")), lambda w: F.size(w) > 0)
+    cut = F.transform(F.when(F.expr("taken > whole * size"), pieces).otherwise(F.array().cast("array<array<string>>")),
+                      lambda w: F.array_join(w, " "))
+    copies = copies.withColumn("copy", F.explode(F.concat(
+        F.array_repeat(F.lit(None).cast("string"), F.col("whole")), cut)))
+    new = {"text": F.coalesce("copy", at["text"])}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.when(cut, F.char_length(new["text"]).cast(kind)).otherwise(F.col("doc.n_chars"))
-    return copies.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+        new["n_chars"] = F.when(F.col("copy").isNotNull(), F.char_length("copy").cast(kind)).otherwise(at["n_chars"])
+    return copies.select(*[new.get(c, at[c]).alias(c) for c in docs.columns])
 
 
 @llm_query("op6_sainte_lague_mixing")

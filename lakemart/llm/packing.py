@@ -22,14 +22,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import llm_query, table
-from lakemart.llm.textops import text_chunks
-from lakemart.session import cut_lineage, shuffle_partitions
+from lakemart.llm.textops import SMALL_BYTES, release_memory, text_chunks
+from lakemart.session import cut_lineage, scoped_conf, shuffle_partitions
 
 CAPACITY = 2048
 CLOSING_ID = 0
 SLACK = 4  # a bin with less room than this is nearly full
 FAN_IN = 8
 MOST_ITEMS = 500_000
+BATCH_ROWS = 2000  # texts sent to a worker at once, beside its table of pieces
 FEW_ITEMS = 4096  # partitions are not made smaller than this
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -58,7 +59,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) ->
         coder = _coder(vocabulary)
         for batch in batches:
             texts, doc_ids = batch.column("text"), batch.column("doc_id")
-            for chunk in text_chunks(texts):
+            for chunk in text_chunks(texts, SMALL_BYTES):
                 ids, bounds = coder.encode(chunk)
                 rows: list[tuple] = []
                 raw = chunk.data.tobytes()
@@ -76,6 +77,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) ->
                     [doc_ids.take(pa.array(at)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                     ["doc_id", "piece", "start", "length", "ids_crc32"])
+            release_memory()
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
 
 
@@ -179,7 +181,10 @@ def packed_documents(docs: DataFrame, vocabulary: str | None = None, capacity: i
     if vocabulary is None:
         import public_tokenizers
         vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    return pack(cut_lineage(token_pieces(docs, vocabulary, capacity), "op10-pieces"), capacity)
+    spark = docs.sparkSession
+    with scoped_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        pieces = cut_lineage(token_pieces(docs, vocabulary, capacity), "op10-pieces")
+    return pack(pieces, capacity)
 
 
 @llm_query("op10_best_fit_packing")

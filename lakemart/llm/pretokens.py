@@ -20,7 +20,8 @@ from lakemart.llm.textops import Chunk, KeyTable, _power_tables, mix64
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: Unicode White_Space (fixed values).
 WHITE = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-MOST_PIECES = 1 << 21  # pieces kept in a worker's table, which starts anew beyond them
+MOST_PIECES = 1 << 19  # pieces kept in a worker's table, which starts anew beyond them
+MOST_IDS = 1 << 23  # or beyond so many ids
 
 _classes: list[np.ndarray] = []
 
@@ -96,9 +97,9 @@ class PieceIds:
         self.clear()
 
     def clear(self) -> None:
-        self.table, self.n = KeyTable(), 0
-        self.count = np.zeros(1 << 16, np.int64)
-        self.at = np.zeros(1 << 16, np.int64)
+        self.table, self.n = KeyTable(kind=np.int32), 0
+        self.count = np.zeros(1 << 16, np.int32)
+        self.at = np.zeros(1 << 16, np.int32)
         self.ids = np.zeros(1 << 16, np.uint32)
         self.used = 0
 
@@ -134,7 +135,7 @@ class PieceIds:
             value = (points.astype(np.uint64) + np.uint64(0x2545F491)) * np.uint64(0xD1342543DE82EF95)
             np.cumsum((value ^ (value >> np.uint64(29))) * up[:len(points)], out=sums[1:])
             key = mix64((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
-        if self.n > MOST_PIECES:
+        if self.n > MOST_PIECES or self.used > MOST_IDS:
             self.clear()
         slot = self.table.find(key)
         missing = np.flatnonzero(slot < 0)

@@ -12,13 +12,15 @@ The model is fitted on at most ``labelled.SAMPLE_ROWS`` labelled rows and applie
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import llm_query, table
 from lakemart.llm.labelled import (
-    Columns, Presence, Sample, choose_events, labelled_events, newton_change, score_rows, training_tables, transposed,
+    Columns, Presence, Sample, choose_events, kept_rows, labelled_events, newton_change, score_rows, training_tables, transposed,
 )
 
 GRADE = "CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 WHEN quality = 1 THEN 2 END"
@@ -98,8 +100,8 @@ class OrdinalModel:
 
 
 def grade_documents(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, grade: str = GRADE,
-                    grades: int = GRADES) -> DataFrame:
-    """All columns of ``docs`` and ``expected_grade``, ``p_tail``.
+                    grades: int = GRADES, text: str = "text", keep: Callable | None = None) -> DataFrame:
+    """All columns of ``docs`` and ``expected_grade``, ``p_tail`` (see ``score_rows`` for ``keep``).
 
     Null and empty texts have no events: their grade is that of the thresholds alone.
     Without labelled rows every document has the highest grade. Repeated rows are rows like any other."""
@@ -119,7 +121,7 @@ def grade_documents(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, g
             return np.tile([grades - 1.0, 1.0], (has.n, 1))
         p = model.tails(has @ weights)
         return np.column_stack([p.sum(1), p[:, 0]])
-    return score_rows(docs, wanted, ["expected_grade", "p_tail"], predict)
+    return score_rows(docs, wanted, ["expected_grade", "p_tail"], predict, text, keep)
 
 
 def quality(docs: DataFrame, train_docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -130,10 +132,7 @@ def quality(docs: DataFrame, train_docs: DataFrame, labels: DataFrame) -> DataFr
 
 def good_documents(docs: DataFrame, train_docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with its columns."""
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    rows = docs.select(F.col("text").cast("string").alias("text"), own)
-    kept = grade_documents(rows, train_docs, labels).where(F.col("p_tail") >= TAIL)
-    return kept.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+    return kept_rows(docs, lambda rows, text: grade_documents(rows, train_docs, labels, text=text, keep=lambda v: v[:, 1] >= TAIL))
 
 
 @llm_query("op4_ordinal_quality")

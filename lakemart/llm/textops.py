@@ -9,6 +9,7 @@ longer text is one chunk).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,6 +17,9 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+SMALL_BYTES = 1 << 18  # chunks of operators that hold tables or many arrays besides
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 _rng = np.random.default_rng(20240607)
 _BYTE_VALUE = _rng.integers(1, 1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -40,6 +44,13 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def release_memory() -> None:
+    """Give memory that is free again back to the system: workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values (a bijection, so it adds no collisions)."""
     with np.errstate(over="ignore"):
@@ -184,9 +195,9 @@ def as_list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) ->
 class KeyTable:
     """Numbers by 64-bit key (scrambled, none twice), found for whole arrays at once: open addressing."""
 
-    def __init__(self, bits: int = 16):
-        self.bits, self.size = bits, 0
-        self.keys, self.numbers = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int64)
+    def __init__(self, bits: int = 16, kind: type = np.int64):
+        self.bits, self.size, self.kind = bits, 0, kind
+        self.keys, self.numbers = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, kind)
 
     def _place(self, keys: np.ndarray) -> np.ndarray:
         return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -213,7 +224,7 @@ class KeyTable:
         keys = np.maximum(keys, np.uint64(1))
         if 2 * (self.size + len(keys)) > len(self.keys):
             old = self.keys[self.keys != 0], self.numbers[self.keys != 0]
-            self.__init__(max(self.bits + 1, int(2 * (len(old[0]) + len(keys))).bit_length()))
+            self.__init__(max(self.bits + 1, int(2 * (len(old[0]) + len(keys))).bit_length()), self.kind)
             self.add(*old)
         self.size += len(keys)
         at = self._place(keys)

@@ -11,13 +11,16 @@ applied to every whole text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import llm_query, table
 from lakemart.llm.labelled import (
-    FOLDS, Columns, Presence, Sample, choose_events, labelled_events, newton_change, score_rows, training_tables, transposed,
+    FOLDS, Columns, Presence, Sample, choose_events, kept_rows, labelled_events, newton_change, score_rows, training_tables,
+    transposed,
 )
 
 CATEGORIES = ["low_quality", "toxic", "toxic_low_quality"]
@@ -69,8 +72,9 @@ def fit_chain(sample: Sample, categories: int) -> list[tuple[np.ndarray, np.ndar
     return models
 
 
-def chain(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, targets: list[str], names: list[str]) -> DataFrame:
-    """All columns of ``docs`` and ``p_<name>`` for each category in order.
+def chain(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, targets: list[str], names: list[str],
+          text: str = "text", keep: Callable | None = None) -> DataFrame:
+    """All columns of ``docs`` and ``p_<name>`` for each category in order (see ``score_rows`` for ``keep``).
 
     Null and empty texts have no events; their probabilities are those of the constant.
     Without labelled rows all probabilities are 0. Repeated rows are rows like any other."""
@@ -91,7 +95,7 @@ def chain(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, targets: li
         for dense, weights in spread:
             x = np.column_stack([x, np.clip(x @ dense + has @ weights, -STEEPEST, STEEPEST)])
         return 1 / (1 + np.exp(-x[:, 1:]))
-    return score_rows(docs, wanted, [f"p_{n}" for n in names], predict)
+    return score_rows(docs, wanted, [f"p_{n}" for n in names], predict, text, keep)
 
 
 def toxicity(docs: DataFrame, train_docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -103,10 +107,9 @@ def toxicity(docs: DataFrame, train_docs: DataFrame, labels: DataFrame) -> DataF
 
 def without_toxic(docs: DataFrame, train_docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with its columns."""
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    rows = docs.select(F.col("text").cast("string").alias("text"), own)
-    kept = chain(rows, train_docs, labels, TARGETS, CATEGORIES).where(F.col("p_toxic") < THRESHOLD)
-    return kept.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+    place = CATEGORIES.index("toxic")
+    return kept_rows(docs, lambda rows, text: chain(rows, train_docs, labels, TARGETS, CATEGORIES, text,
+                                                    lambda p: p[:, place] < THRESHOLD))
 
 
 @llm_query("op9_toxicity_chain")

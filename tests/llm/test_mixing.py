@@ -77,3 +77,24 @@ def test_odd_rows(odd_documents):
 
 def test_empty_table(no_documents):
     assert mixture(no_documents).count() == 0 and mixed_documents(no_documents).count() == 0
+
+
+def test_the_mix_does_not_depend_on_the_order_of_rows(shipped):
+    """Rows that share doc_id, source and size, with different texts."""
+    from lakemart.llm.mixing import mixed_documents
+    rows = [(5, f"one two t{i}", "en", "a", 10) for i in range(400)] + [(i, "x y z", "en", "b", 5) for i in range(900)]
+    docs = shipped.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixes = [sorted(tuple(r) for r in mixed_documents(d).collect()) for d in (
+        docs, docs.orderBy("text"), docs.repartition(5).orderBy("n_chars", "text", ascending=False))]
+    assert mixes[0] == mixes[1] == mixes[2] and mixes[0]
+
+
+def test_a_run_round_the_end_of_one_document(shipped):
+    """Its tail and its head are two rows, no words are glued."""
+    from lakemart.llm.mixing import mixed_documents
+    rows = [(1, " ".join(f"a{i}" for i in range(1000)), "en", "a", 0), (2, " ".join(f"b{i}" for i in range(400)), "en", "b", 0)]
+    docs = shipped.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for r in mixed_documents(docs).collect():
+        numbers = [int(w[1:]) for w in r["text"].split()]
+        assert numbers == list(range(numbers[0], numbers[0] + len(numbers)))
+        assert r["n_chars"] in (0, len(r["text"]))

@@ -9,7 +9,7 @@ read again as the next one's ``docs``. All but the last return the columns of ``
 3. near_dedup: of each group of near duplicates (five-word shingles, similarity 0.8) the
    smallest doc_id stays.
 4. mixing: sources are taken to their target weights; a document that is taken twice gives
-   two rows, one at the edge of what is taken is cut there.
+   two rows, one at the edge of what is taken is cut there (its words, joined by single spaces).
 5. packing: all documents are packed into sequences of at most 2048 tokens.
 
 The classifiers of the first two stages are fitted on labelled rows of the whole ``documents`` table.
@@ -28,26 +28,34 @@ from lakemart.session import cut_lineage
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic. Null and empty texts have no events: they stay, unless the labels' share of toxic
+    documents alone is over the threshold. Repeated rows are decided alike, ties don't occur."""
     ship_package(spark)
     return toxicity.without_toxic(docs, *training_tables(spark, sf_dir))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of good quality. Null and empty texts are graded by the thresholds alone; repeated rows are decided alike."""
     ship_package(spark)
     return quality.good_documents(docs, *training_tables(spark, sf_dir))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest doc_id; of repeated rows one stays, null,
+    empty and blank texts are in no group."""
     ship_package(spark)
     return minhash.keep_one(docs, width=5, percent=80)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sources at their target weights. Null and empty texts have no words and are not taken; repeated rows are rows
+    like any other, in an order that follows from their values."""
     ship_package(spark)
     return mixing.mixed_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in sequences. A null or empty text is its closing id alone; repeated rows are packed each."""
     ship_package(spark)
     return packing.packed_documents(docs)
 

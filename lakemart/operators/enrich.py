@@ -8,9 +8,9 @@ Scale notes
   into blocks; it is written once, so all branches of the plan see the same
   cuts. Equal values always fall in the same block. ``ranged`` first collapses
   rows to distinct (group, value) pairs with a count (map-side combine, so
-  a value repeated a billion times becomes one row), ranks the pairs inside
-  their block, adds the rows of earlier blocks and joins the ranks back: four
-  shuffles of data size, and a tied value's join is split by AQE. ``window``
+  a value repeated a billion times becomes one row), writes them once, ranks the pairs inside
+  their block (``rank_pairs``), adds the rows of earlier blocks and joins the ranks back: the input
+  is read twice, and a tied value's join is split by AQE. ``window``
   ranks the rows themselves inside their block: one shuffle, for values that
   are near distinct (a tied value stays in one task).
 * ``with_global_mean`` computes the mean as a scalar subquery (partial +
@@ -74,36 +74,51 @@ def rank_within(df: DataFrame, group: str, value: str, out: str = "rank",
         raise ValueError(f"unknown rank method {method!r}")
     if dense and method == "window":
         raise ValueError("dense ranks need method='ranged'")
-    order = _order(value, descending)
+    if method == "ranged":
+        # written once: the boundaries, the blocks and the ranks all read the pairs
+        pairs = cut_lineage(df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n")), "rank-pairs")
+        return with_ranks(df, rank_pairs(pairs, group, value, "_n", out, descending, blocks, dense), group, value, out)
     cuts = [i / blocks for i in range(1, blocks)] or [0.5]
-    # groups * blocks numbers; AQE decides from their size how they are joined
     bounds = cut_lineage(df.groupBy(F.col(group).alias("_bg")).agg(
         F.array_distinct(F.percentile_approx(value, cuts, 10 * blocks)).alias("_bounds")), "rank-bounds")
+    rows = (df.join(bounds, df[group].eqNullSafe(bounds["_bg"])).drop("_bg")
+            .withColumn("_blk", _block(value, "_bounds", descending)).drop("_bounds"))
+    off = _block_offsets(rows, group, F.lit(1))
+    inside = rows.withColumn("_in", F.rank().over(Window.partitionBy(group, "_blk").orderBy(_order(value, descending))))
+    placed = inside.join(off, inside[group].eqNullSafe(off["_g"]) & (inside["_blk"] == off["_b"]))
+    return placed.withColumn(out, (F.col("_off") + F.col("_in")).cast("int")).select(*df.columns, out)
+
+
+def rank_pairs(pairs: DataFrame, group: str, value: str, count: str, out: str = "rank", descending: bool = True,
+               blocks: int = RANK_BLOCKS, dense: bool = False) -> DataFrame:
+    """``(group, value, rank)`` of distinct (group, value) pairs that stand for ``count`` rows each, as ``rank()`` over those rows.
 
-    def with_block(frame: DataFrame) -> DataFrame:
-        return (frame.join(bounds, frame[group].eqNullSafe(bounds["_bg"])).drop("_bg")
-                .withColumn("_blk", _block(value, "_bounds", descending)).drop("_bounds"))
-
-    def offsets(frame: DataFrame, weight: Column) -> DataFrame:
-        per_block = frame.groupBy(group, "_blk").agg(F.sum(weight).alias("_blk_n"))
-        before = Window.partitionBy(group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-        return per_block.select(F.col(group).alias("_g"), F.col("_blk").alias("_b"),
-                                F.coalesce(F.sum("_blk_n").over(before), F.lit(0)).alias("_off"))
-
-    if method == "window":
-        rows = with_block(df)
-        off = offsets(rows, F.lit(1))
-        inside = rows.withColumn("_in", F.rank().over(Window.partitionBy(group, "_blk").orderBy(order)))
-        placed = inside.join(off, inside[group].eqNullSafe(off["_g"]) & (inside["_blk"] == off["_b"]))
-        return placed.withColumn(out, (F.col("_off") + F.col("_in")).cast("int")).select(*df.columns, out)
-    pairs = with_block(df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n")))
-    weight = F.lit(1) if dense else F.col("_n")
-    off = offsets(pairs, weight)
+    ``pairs`` is read several times, so it should be a table. The boundary values are computed when this is called."""
+    order, cuts = _order(value, descending), [i / blocks for i in range(1, blocks)] or [0.5]
+    # groups * blocks numbers; AQE decides from their size how they are joined
+    bounds = cut_lineage(pairs.groupBy(F.col(group).alias("_bg")).agg(
+        F.array_distinct(F.percentile_approx(value, cuts, 10 * blocks)).alias("_bounds")), "rank-bounds")
+    weight = F.lit(1) if dense else F.col(count)
+    placed = (pairs.select(group, value, count).join(bounds, pairs[group].eqNullSafe(bounds["_bg"])).drop("_bg")
+              .withColumn("_blk", _block(value, "_bounds", descending)).drop("_bounds"))
+    off = _block_offsets(placed, group, weight)
     before = Window.partitionBy(group, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    inside = pairs.withColumn("_in", F.coalesce(F.sum(weight).over(before), F.lit(0)))
-    ranks = (inside.join(off, inside[group].eqNullSafe(off["_g"]) & (inside["_blk"] == off["_b"]))
-             .select(F.col(group).alias("_rg"), F.col(value).alias("_rv"),
-                     (F.col("_off") + F.col("_in") + F.lit(1)).cast("int").alias(out)))
+    inside = placed.withColumn("_in", F.coalesce(F.sum(weight).over(before), F.lit(0)))
+    return (inside.join(off, inside[group].eqNullSafe(off["_g"]) & (inside["_blk"] == off["_b"]))
+            .select(F.col(group), F.col(value), (F.col("_off") + F.col("_in") + F.lit(1)).cast("int").alias(out)))
+
+
+def _block_offsets(frame: DataFrame, group: str, weight: Column) -> DataFrame:
+    """For each block of a group the weight of the group's earlier blocks."""
+    per_block = frame.groupBy(group, "_blk").agg(F.sum(weight).alias("_blk_n"))
+    before = Window.partitionBy(group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    return per_block.select(F.col(group).alias("_g"), F.col("_blk").alias("_b"),
+                            F.coalesce(F.sum("_blk_n").over(before), F.lit(0)).alias("_off"))
+
+
+def with_ranks(df: DataFrame, ranks: DataFrame, group: str, value: str, out: str = "rank") -> DataFrame:
+    """The rows of ``df`` with the rank of their (group, value) pair; nulls are values."""
+    ranks = ranks.select(F.col(group).alias("_rg"), F.col(value).alias("_rv"), out)
     cond = df[group].eqNullSafe(ranks["_rg"]) & df[value].eqNullSafe(ranks["_rv"])
     return df.join(ranks, cond, "inner").drop("_rg", "_rv")
 

@@ -15,8 +15,9 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from lakemart.functions.scalar import as_number
 
@@ -78,6 +79,54 @@ def predicate(df: DataFrame, rules: list[Rule]) -> Column | None:
     return reduce(lambda a, b: a & b, parts)
 
 
+def failed_mask(df: DataFrame, rules: list[Rule]) -> Column:
+    """A bit for each rule of the list, set where the rule is false or null; a rule that is left out never fails."""
+    predicate(df, rules)  # a missing column that is not optional is an error here, too
+    bits = [F.when(F.coalesce(rule.build(df), F.lit(False)), F.lit(0)).otherwise(F.lit(1 << i))
+            for i, rule in enumerate(rules) if rule.applies_to(df)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0)).cast("int")
+
+
+def failed_names(mask: str | Column, rules: list[Rule]) -> Column:
+    """The names of the rules whose bits are set, in the order of the list."""
+    mask = F.col(mask) if isinstance(mask, str) else mask
+    return F.filter(F.array(*[F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.lit(r.name)) for i, r in enumerate(rules)]),
+                    lambda name: name.isNotNull())
+
+
+@dataclass(frozen=True)
+class Routed:
+    """Accepted rows (the columns of the input), rejected ones (with ``failed``, the mask, and ``reasons``, the rules' names),
+    and ``counts``: rows in all, accepted, rejected, and failed by rule."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+    counts: dict[str, int]
+
+
+def route(df: DataFrame, path: str, rules: list[Rule] | None = None) -> Routed:
+    """Write the rows of ``df`` to ``path`` by whether every rule holds, in one pass over it.
+
+    All rules are decided for every row and kept as a bit mask (an int: 30 rules at most), so a row that fails
+    several names them all. The counts are observed while the rows are written; nothing is read twice. The two
+    outputs are the directories ``accepted=true`` and ``accepted=false``."""
+    rules = rules if rules is not None else shopper_rules()
+    if len(rules) > 30:
+        raise ValueError("at most 30 rules fit the mask")
+    seen = Observation()
+    masked = df.withColumn("failed", failed_mask(df, rules))
+    fails = [F.count_if(F.col("failed").bitwiseAND(F.lit(1 << i)) != 0).alias(f"failed_{r.name}") for i, r in enumerate(rules)]
+    ok = F.col("failed") == 0
+    masked = masked.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(ok).alias("accepted"),
+                            F.count_if(~ok).alias("rejected"), *fails)
+    masked.withColumn("accepted", ok).write.mode("overwrite").partitionBy("accepted").parquet(path)
+    schema = StructType([*[StructField(f.name, f.dataType) for f in df.schema.fields], StructField("failed", IntegerType()),
+                         StructField("accepted", BooleanType())])
+    back = df.sparkSession.read.schema(schema).parquet(path)
+    return Routed(back.filter("accepted").drop("failed", "accepted"),
+                  back.filter("NOT accepted").drop("accepted").withColumn("reasons", failed_names("failed", rules)), seen.get)
+
+
 def validate(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """Keep the rows for which every applicable rule is true."""
     cond = predicate(df, rules if rules is not None else shopper_rules())

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from lakemart.functions.scalar import lower_text, title_case
 from lakemart.operators.enrich import join_on_key, keep_one_per_key, rank_within, with_global_mean
 from lakemart.operators.rules import Rule, shopper_rules, validate
+from lakemart.plans.bronze import read_bronze
 from lakemart.session import cut_lineage, qualified
-from lakemart.sources.files import PARTITION_COLUMNS, date_range, read_parquet
+from lakemart.sources.files import PARTITION_COLUMNS, date_range
 from lakemart.sources.sinks import write_partitioned
 
 # Columns of the second feed that the first feed already carries.
@@ -81,7 +82,7 @@ def build_silver(spark: SparkSession, info_path: str, activity_path: str, out_pa
         own = qualified(spark, p)
         if own == out or own.startswith(out + "/") or out.startswith(own + "/"):
             raise ValueError("silver output must not overwrite, hold or lie in one of its inputs")
-    silver = silver_transform(read_parquet(spark, info_path), read_parquet(spark, activity_path),
+    silver = silver_transform(read_bronze(spark, info_path), read_bronze(spark, activity_path),
                               key=key, rank_method=rank_method, income_scale=income_scale, dedup_first=dedup_first)
     parts = [c for c in PARTITION_COLUMNS if c in silver.columns]
     ranged = bool(start or end)

@@ -178,13 +178,13 @@ def q_csv_header_scan(spark: SparkSession, base: str) -> DataFrame:
     return read_csv(spark, path, header=True, infer=True)
 
 
-CUSTOMER_TEXT_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+CUSTOMER_TEXT_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
 @query("csv_raw_scan", """
-SELECT 'c_custkey' AS _c0, 'c_name' AS _c1, 'c_nationkey' AS _c2, 'c_mktsegment' AS _c3
+SELECT 'c_custkey' AS _c0, 'c_name' AS _c1, 'c_nationkey' AS _c2, 'c_acctbal' AS _c3, 'c_mktsegment' AS _c4
 UNION ALL
-SELECT CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), c_mktsegment FROM customer""")
+SELECT CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), CAST(c_acctbal AS VARCHAR), c_mktsegment FROM customer""")
 def q_csv_raw_scan(spark: SparkSession, base: str) -> DataFrame:
     """A headered file read without header (S2): the header is a data row."""
     from lakemart.session import scratch_path
@@ -197,9 +197,9 @@ def q_csv_raw_scan(spark: SparkSession, base: str) -> DataFrame:
 
 @query("declared_csv_table", """
 SELECT CAST(NULL AS BIGINT) AS c_custkey, rpad('c_name', 25, ' ') AS c_name,
-       CAST(NULL AS INTEGER) AS c_nationkey, rpad('c_mktsegment', 20, ' ') AS c_mktsegment
+       CAST(NULL AS INTEGER) AS c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, rpad('c_mktsegment', 20, ' ') AS c_mktsegment
 UNION ALL
-SELECT c_custkey, rpad(c_name, 25, ' '), c_nationkey, rpad(c_mktsegment, 20, ' ') FROM customer""")
+SELECT c_custkey, rpad(c_name, 25, ' '), c_nationkey, c_acctbal, rpad(c_mktsegment, 20, ' ') FROM customer""")
 def q_declared_csv_table(spark: SparkSession, base: str) -> DataFrame:
     """A catalog table over delimited text under a declared schema (S3)."""
     import uuid
@@ -211,7 +211,7 @@ def q_declared_csv_table(spark: SparkSession, base: str) -> DataFrame:
     write_csv(_t(spark, base, "customer").select(*CUSTOMER_TEXT_COLUMNS), path, header=True)
     table = f"customer_text_{uuid.uuid4().hex[:8]}"
     return declare_csv_table(spark, table,
-                             "c_custkey BIGINT, c_name CHAR(25), c_nationkey INT, c_mktsegment CHAR(20)", path)
+                             "c_custkey BIGINT, c_name CHAR(25), c_nationkey INT, c_acctbal DOUBLE, c_mktsegment CHAR(20)", path)
 
 
 ORDERS_DATED_SQL = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, "
@@ -452,7 +452,7 @@ def q_silver_day_range(spark: SparkSession, base: str) -> DataFrame:
     from lakemart.session import scratch_path
     bronze, out = staged_bronze(spark, base), scratch_path(spark, "silver-days")
     sv.build_silver(spark, *bronze, out, income_scale=2)
-    sv.build_silver(spark, *bronze, out, income_scale=2, start="1995-01-01", end="1997-06-30")
+    sv.build_silver(spark, *bronze, out, income_scale=2, start="2000-07-01", end="2001-03-31")
     return spark.read.parquet(out).select(*SILVER_COLUMNS)
 
 
@@ -876,9 +876,13 @@ def q_vertical_split_rejoin(spark: SparkSession, base: str) -> DataFrame:
     return rejoin(list(vertical_split(orders, ["o_orderkey"], seed=42)), ["o_orderkey"]).select(*orders.columns)
 
 
-@query("vertical_split_named", "SELECT c_custkey, c_acctbal, c_mktsegment FROM customer")
+@query("vertical_split_named", """
+SELECT 'first' AS part, c_custkey, c_name, c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment FROM customer
+UNION ALL
+SELECT 'second', c_custkey, NULL, NULL, c_acctbal, c_mktsegment FROM customer""")
 def q_vertical_split_named(spark: SparkSession, base: str) -> DataFrame:
-    """Split by named groups; the second group is returned."""
+    """Split by named groups; both groups, told apart by a name."""
     from lakemart.operators.project import split_by_groups
     groups = [["c_custkey", "c_name", "c_nationkey"], ["c_custkey", "c_acctbal", "c_mktsegment"]]
-    return split_by_groups(_t(spark, base, "customer"), groups)[1]
+    first, second = split_by_groups(_t(spark, base, "customer"), groups)
+    return first.withColumn("part", F.lit("first")).unionByName(second.withColumn("part", F.lit("second")), allowMissingColumns=True)

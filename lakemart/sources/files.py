@@ -8,9 +8,13 @@ filters and column selections applied later reach the scan.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import CharType, StringType, StructType, VarcharType
+
+from lakemart.session import cut_lineage, scoped_conf
 
 PARTITION_COLUMNS = ("year", "month", "day")
 
@@ -99,3 +103,56 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
 def read_text(spark: SparkSession, path: str) -> DataFrame:
     """Plain text, one row per line in column ``value``."""
     return spark.read.text(path)
+
+
+def read_json_variant(spark: SparkSession, path: str, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """JSON documents of changing shape, one per line, in one pass.
+
+    Every line becomes a VARIANT value; no schema is inferred. ``fields`` names the columns wanted: a path
+    (``$.fields.name``, ``$.geo[0]``) and the type it is read as. A path that a document lacks, or a value that can't be
+    cast, is null; a line that is no JSON gives nulls everywhere. The columns that follow are null or a value, whatever the shape."""
+    doc = F.try_parse_json(F.col("value"))
+    return read_text(spark, path).select(*[F.try_variant_get(doc, p, t).alias(name) for name, (p, t) in fields.items()])
+
+
+def read_delimited(spark: SparkSession, path: str, columns_ddl: str, sep: str = ",", escape: str | None = None,
+                   null_text: str = "\\N") -> DataFrame:
+    """Delimited text as a declared Hive table means it (S3).
+
+    A line is cut at every separator: quotes are ordinary signs, so a quoted separator cuts, too. With ``escape`` a
+    separator after it does not cut. A field of ``null_text`` is null (before escapes are taken out), as is one that its column's type can't take
+    and one that a short line lacks; what a long line has beyond the columns is dropped. An empty field is null but
+    for text. CHAR(n) is padded with blanks and cut at n, VARCHAR(n) cut. A header line is a row like any other."""
+    # DDL text keeps the lengths of CHAR and VARCHAR, which a schema object holds as metadata
+    schema = StructType.fromDDL(columns_ddl)
+    raw = F.split(F.col("value"), re.escape(sep), -1) if escape is None else F.regexp_extract_all(
+        F.concat(F.lit(sep), F.col("value")), F.lit(f"{re.escape(sep)}((?:{re.escape(escape)}.|[^{re.escape(sep)}])*)"), F.lit(1))
+    lines = read_text(spark, path).select(raw.alias("raw"))
+    columns = []
+    for i, f in enumerate(schema.fields):
+        text = F.get("raw", F.lit(i))
+        text = F.when(text != F.lit(null_text), text)
+        if escape is not None:
+            text = F.regexp_replace(text, f"{re.escape(escape)}(.)", "$1")
+        kind = f.dataType
+        if isinstance(kind, CharType):
+            value = F.rpad(text, kind.length, " ")
+        elif isinstance(kind, VarcharType):
+            value = F.substring(text, 1, kind.length)
+        else:
+            value = text if isinstance(kind, StringType) else text.try_cast(kind)
+        columns.append(value.alias(f.name))
+    return lines.select(*columns)
+
+
+def footer_count(spark: SparkSession, path: str) -> DataFrame:
+    """One row: ``total``, the rows of a Parquet dataset, added up from the files' footers (A5): no row is read.
+
+    The count is pushed into the scan, which the file-source connector of version 2 can do; the two settings that
+    ask for it hold while this runs, and the one row is written and read back."""
+    with scoped_conf(spark, {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}):
+        return cut_lineage(footer_count_plan(spark, path), "footer-count")
+
+
+def footer_count_plan(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("total"))

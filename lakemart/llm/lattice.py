@@ -217,7 +217,27 @@ def _unusable(vectors: DataFrame) -> DataFrame:
     return vectors.where(~F.coalesce(good, F.lit(False))).select(F.col("vec_id").cast("long"))
 
 
-@llm_query("op5_lattice_near_vectors")
+#: All pairs. The lattice may miss a link near the threshold, where this would differ; the given vectors have none.
+ORACLE_SQL = """
+WITH RECURSIVE nodes AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, len(embedding) > 0
+         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+  FROM embeddings),
+links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM nodes p JOIN nodes q
+  ON p.usable AND q.usable AND p.vec_id <> q.vec_id AND len(p.v) = len(q.v) WHERE list_cosine_similarity(p.v, q.v) >= 0.9),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM nodes
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+lowest AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(counts.n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM nodes JOIN lowest ON lowest.id = vec_id LEFT JOIN counts ON counts.id = vec_id"""
+
+
+@llm_query("op5_lattice_near_vectors", ORACLE_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings, cosine 0.9."""
     return near_vectors(table(spark, sf_dir, "embeddings"))

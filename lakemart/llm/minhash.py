@@ -291,7 +291,30 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]).unionByName(docs.where(nameless_blank))
 
 
-@llm_query("op1_minhash_near_dedup")
+#: All pairs of documents that share a shingle.
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+nodes AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s
+  FROM words),
+each AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM nodes),
+links AS (
+  SELECT p.doc_id AS a, q.doc_id AS b FROM each p JOIN each q ON p.shingle = q.shingle AND p.doc_id <> q.doc_id
+  GROUP BY p.doc_id, q.doc_id, p.n, q.n HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM nodes
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+lowest AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM nodes JOIN lowest ON lowest.id = doc_id"""
+
+
+@llm_query("op1_minhash_near_dedup", ORACLE_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, similarity 0.85, all documents."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)

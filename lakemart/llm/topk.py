@@ -110,11 +110,12 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
     ``integer_vectors``. Only vectors of one length meet; a query with fewer candidates gets all.
 
     Ties go to the smaller vec_id. Rows that repeat a vec_id are candidates each, but none for a query
-    with that vec_id; queries that repeat a vec_id give one result. Empty tables give an empty result."""
+    with that vec_id; of queries that repeat a vec_id the one with the least vector (by length, then by its components
+    in order) counts. Empty tables give an empty result."""
     n_queries, n_candidates = queries.count(), candidates.count()
     parts_q, parts_c = max(1, -(-n_queries // QUERY_ROWS)), max(1, -(-n_candidates // CANDIDATE_ROWS))
     sides = []
-    asked = queries.dropDuplicates(["vec_id"])
+    asked = queries.groupBy("vec_id").agg(F.min(F.struct("size", "vector")).alias("q")).select("q.size", "vec_id", "q.vector")
     for frame, own, other, parts, others, is_query in ((asked, "i", "j", parts_q, parts_c, True), (candidates, "j", "i", parts_c, parts_q, False)):
         sides.append(frame.select("size", "vec_id", "vector", F.lit(is_query).alias("asks"),
                                   F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(parts)).cast("int").alias(own))
@@ -135,7 +136,18 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
             .select("query_id", "rank", "vec_id", "score"))
 
 
-@llm_query("op7_no_random_access_top_k")
+ORACLE_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS s
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS r FROM scored)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, CAST(s AS BIGINT) AS score FROM ranked WHERE r <= 5"""
+
+
+@llm_query("op7_no_random_access_top_k", ORACLE_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding whose vec_id is divisible by 50 against all others, the 5 best."""
     vectors = cut_lineage(integer_vectors(table(spark, sf_dir, "embeddings")), "op7-vectors")

@@ -104,7 +104,7 @@ def q_validate_email(spark: SparkSession, base: str) -> DataFrame:
     "SELECT user_id, country, average_order_value, rank_in_country FROM ranked"))
 def q_rank_in_country(spark: SparkSession, base: str) -> DataFrame:
     info, act = fx.shopper_feeds(spark, base)
-    _, ranked = sv.ranked_rows(info, act, rank_method="ranged")
+    _, ranked = sv.ranked_rows(info, act, rank_method="ranged", materialize=True)
     return ranked.select("user_id", "country", "average_order_value", "rank_in_country")
 
 
@@ -120,8 +120,10 @@ def q_rank_in_country_window(spark: SparkSession, base: str) -> DataFrame:
 def q_avg_global(spark: SparkSession, base: str) -> DataFrame:
     from lakemart.operators.enrich import with_global_mean
     from lakemart.operators.rules import validate
+    from lakemart.session import cut_lineage
     info, act = fx.shopper_feeds(spark, base)
-    valid = validate(sv.join_feeds(info, act)).select("user_id", "income_level")
+    # written once: the mean and the rows both read it
+    valid = cut_lineage(validate(sv.join_feeds(info, act)).select("user_id", "income_level"), "avg-valid")
     return with_global_mean(valid, "income_level", "avg_global_income", exact_scale=2)
 
 

@@ -3,15 +3,16 @@
 An event is a 64-bit hash: a run of letters in lower case that occurs in the text, two
 signs that end at least two of its words, signs that end three of them, or a word that
 comes three or six times in a row. A word part, the first 5 or 8 or the last 5 bytes of a longer
-run of letters, is an event, too.
-Texts are read whole. Models are linear in the presence of events. Every event of the sample is
-a candidate, and as many get weights as reach ``LEAST_SCORE``: columns are kept as pairs (row,
-event), so their number is not bounded.
+run of letters, is an event, too, and so are the first 4 to 7 bytes that two or three of a text's longer words share (``SHARED``).
+Texts are read whole. Models are linear in the presence of events. Every event of the sample is scored by itself
+in Spark; those that reach ``SCREEN`` for some target are candidates, and as many of them get weights as reach ``LEAST_SCORE``
+beside the events chosen before: columns are kept as pairs (row, event), so their number is not bounded.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,9 @@ from lakemart.session import cut_lineage
 
 SAMPLE_ROWS = 20_000  # labelled rows that models are fitted on, at most
 LEAST_SCORE = 12.0  # score statistic that an event must reach to be chosen
+SCREEN = 6.0  # and by itself to be a candidate
 LEAST_ROWS = 4  # with slopes of 1 at most, an event of fewer rows can't reach it
+SHARED = [(4, 3), (5, 3), (6, 3), (7, 3), (5, 2), (6, 2), (7, 2)]  # first bytes that so many words of a text must share
 PARTS = [(0, 5), (0, 8), (-5, 5)]  # where a word part begins, from the end if negative, and its bytes
 FOLDS = 5
 
@@ -78,6 +81,18 @@ def word_parts(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         part[(part >= 65) & (part <= 90)] += 32
         doc.append(letters.doc[long])
         event.append(mix64(mix64(part.view(np.uint64)[:, 0]) + np.uint64((number + 1) << 40)))
+    for number, (size, least) in enumerate(SHARED):
+        long = np.flatnonzero(letters.end - letters.start > size)
+        part = np.zeros((len(long), 8), np.uint8)
+        part[:, :size] = chunk.data[letters.start[long][:, None] + np.arange(size)]
+        part[(part >= 65) & (part <= 90)] += 32
+        own, many = letters.doc[long], np.zeros(len(long), bool)
+        value = part.view(np.uint64)[:, 0]
+        order = np.lexsort((value, own))
+        value, own = value[order], own[order]
+        many[least - 1:] = (value[least - 1:] == value[:len(value) - least + 1]) & (own[least - 1:] == own[:len(own) - least + 1])
+        doc.append(own[many])
+        event.append(mix64(mix64(value[many]) + np.uint64((number + 1 + len(PARTS)) << 40)))
     return np.concatenate(doc), np.concatenate(event)
 
 
@@ -120,8 +135,13 @@ class Sample:
         self.n, self.events = rows.count(), np.zeros(0, np.int64)
         if not self.n:
             return
-        each = rows.select(F.explode("events").alias("event")).groupBy("event").agg(F.count("*").alias("n"))
-        self.events = np.sort(each.where(F.col("n") >= LEAST_ROWS).select("event").toArrow().column(0).to_numpy())
+        own = [F.col("y")[j] for j in range(targets)]
+        shares = rows.agg(*[F.avg(y).alias(f"p{j}") for j, y in enumerate(own)]).first()
+        each = rows.select(F.explode("events").alias("event"), *[y.alias(f"y{j}") for j, y in enumerate(own)]).groupBy("event").agg(
+            F.count("*").alias("n"), *[F.sum(f"y{j}").alias(f"s{j}") for j in range(targets)])
+        best = [(F.col(f"s{j}") - F.col("n") * p) ** 2 / (F.col("n") * (p * (1 - p)) + 1) for j, p in enumerate(shares)]
+        some = each.where(F.col("n") >= LEAST_ROWS).where(reduce(lambda a, b: a | b, [b >= SCREEN for b in best]))
+        self.events = np.sort(some.select("event").toArrow().column(0).to_numpy())
         candidates = rows.sparkSession.sparkContext.broadcast(self.events)
 
         def run(batches):
@@ -149,12 +169,26 @@ class Sample:
         self.row = row[by_event]
         self.first = np.concatenate([[0], np.cumsum(np.bincount(event, minlength=len(self.events)))])
 
+    def where(self, rows: np.ndarray) -> Sample:
+        """The rows of a mask, with all events."""
+        part = object.__new__(Sample)
+        part.n, part.events, part.fold, part.y = int(rows.sum()), self.events, self.fold[rows], self.y[rows]
+        inside = rows[self.row]
+        part.row = (np.cumsum(rows) - 1).astype(np.int32)[self.row[inside]]
+        part.first = np.concatenate([[0], np.cumsum(inside)])[self.first]
+        return part
+
     def rows_of(self, event: int) -> np.ndarray:
         return self.row[self.first[event]:self.first[event + 1]]
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         """For each event the sum of its rows' values."""
-        return np.add.reduceat(values[self.row], self.first[:-1])
+        return np.diff(np.concatenate([[0.0], np.cumsum(values[self.row])])[self.first])
+
+    def columns(self, start: np.ndarray, chosen: list[int]) -> Columns:
+        """The columns ``start`` and those of the chosen events."""
+        rows = [np.zeros(0, np.int64), *[self.rows_of(e) for e in chosen]]
+        return Columns(start, np.concatenate(rows), np.repeat(np.arange(len(chosen)), [len(r) for r in rows[1:]]), len(chosen))
 
 
 class Columns:
@@ -207,8 +241,7 @@ def choose_events(sample: Sample, fit: Callable, start: np.ndarray) -> tuple[lis
     ``fit(X)`` returns the model and, for each row, the slope and the curvature of its log
     likelihood in the linear predictor. ``start`` holds columns that are always in."""
     chosen: list[int] = []
-    none = np.zeros(0, np.int64)
-    x = Columns(start, none, none, 0)
+    x = sample.columns(start, chosen)
     model, slope, curve = fit(x)
     while len(sample.events):
         score = sample.sums(slope) ** 2 / (sample.sums(curve) + 1)
@@ -216,8 +249,7 @@ def choose_events(sample: Sample, fit: Callable, start: np.ndarray) -> tuple[lis
         if score.max() < LEAST_SCORE:
             break
         chosen += np.flatnonzero(score >= max(LEAST_SCORE, score.max() / 2)).tolist()
-        rows = [sample.rows_of(e) for e in chosen]
-        x = Columns(start, np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows]), len(rows))
+        x = sample.columns(start, chosen)
         model, slope, curve = fit(x)
     return chosen, x
 

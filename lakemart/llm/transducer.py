@@ -12,12 +12,15 @@ incomplete may have begun. A state holds these places (as the characters read si
 last token at each and its count relative to the current one, and what the word would count if
 it ended here, since the last byte of a word is a symbol of its own.
 
-A text is cut in chunks of ``LANE`` bytes that are read side by side, one byte of each at
-a time. A chunk maps the state it is entered in to the state it is left in and a
-count. White space resets the transducer, so the map of a chunk with white space is known but
-for its head: all tails run first, and their states enter the heads of the chunks that
-follow; a chunk without white space passes its map on, and the scan goes on
-until every chunk's entry is known. Counts add up by text.
+A text is cut between characters in chunks of about ``LANE`` bytes that are read side by side,
+one byte of each at a time. A chunk maps the state it is entered in to the state it is left in
+and a count. White space resets the transducer, so a chunk with white space is left in a state
+that does not depend on its entry: all tails run first, and heads last. A chunk without white space has
+a map of a few states: those its predecessor may be left in, begun with the start state and
+completed by reading on until no state is new. The maps are composed with one another in
+a prefix scan of logarithmic depth, which gives every chunk's true entry. A state holds what follows
+from a bounded suffix, so the maps stay small; where they do not after ``SPECULATIVE`` rounds,
+only the states on true paths are read on, one chunk of each path a round. Counts add up by text.
 """
 
 from __future__ import annotations
@@ -35,16 +38,40 @@ from lakemart.llm.common import llm_query, table
 from lakemart.llm.pretokens import LETTER, NUMBER, OTHER, SPACE, char_classes
 
 LANE = 512
+SPECULATIVE = 16
 BATCH_BYTES = 1 << 20
 MOST_STATES = 250_000  # the tables start anew beyond them
 END, SPECIAL = 0xFF, 0xFE  # bytes that UTF-8 has not: end of a text, a special token
 
+#: What a file must say of normalising and splitting, as ``Transducer`` does just this (fixed values).
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+OFF = ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")
+
+
+def check_rules(spec: dict) -> None:
+    """Refuse a tokenizer file whose rules are not the compiled ones: its counts would be wrong."""
+    model = spec["model"]
+    other = [n for n, want in (("normalizer", NORMALIZER), ("pre_tokenizer", PRE_TOKENIZER)) if spec.get(n) != want]
+    other += [f"model.{n}" for n in OFF if model.get(n)]
+    if model.get("type") != "BPE" or not model.get("end_of_word_suffix"):
+        other.append("model.type or model.end_of_word_suffix")
+    if any(t.get(n) for t in spec["added_tokens"] for n in ("single_word", "lstrip", "rstrip", "normalized")):
+        other.append("added_tokens")
+    if other:
+        raise ValueError("not a tokenizer that the transducer is compiled for: " + ", ".join(other))
+
 
 class PairRules:
     """Byte pairs with word ends. A token is a string: chr(b) for a byte, chr(256 + b) for a byte that ends a word."""
 
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
+        check_rules(spec)
         model = spec["model"]
         kept = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves (fixed values)
         byte_of = {chr(b): b for b in kept}
@@ -98,6 +125,7 @@ class Transducer:
         self.columns = np.full(256, -1, np.int16)
         self.width = 0
         self.special = re.compile("|".join(map(re.escape, self.rules.special))) if self.rules.special else None
+        self.special_begins = {t[0] for t in self.rules.special}
         self._steps: dict = {}
         self.clear()
 
@@ -247,6 +275,47 @@ class Transducer:
         out[order], total[order] = now, counts
         return out, total
 
+    def scan(self, entry: np.ndarray, begin: np.ndarray, length: np.ndarray, data: np.ndarray,
+             columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exit states and counts of chunks without white space. ``entry`` is the state before each, -1 where
+        the chunk before is of this kind, too, and the one before in these arrays."""
+        first = entry >= 0
+        follows = np.append(~first[1:], False)
+        # the maps: chunk and entry state as one key, ascending, exit state, count
+        key, out, add = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        new = (np.arange(len(entry), dtype=np.int64) << 32) + np.where(first, entry, self.start)
+        rounds = 0
+        while True:
+            chunk = new >> 32
+            left, more = self.run((new & 0xFFFFFFFF).astype(np.int32), begin[chunk], length[chunk], data, columns)
+            key, out, add = np.append(key, new), np.append(out, left), np.append(add, more)
+            order = np.argsort(key)
+            key, out, add = key[order], out[order], add[order]
+            chunk = key >> 32
+            goes_on = follows[chunk]
+            wanted = ((chunk + 1) << 32) + out
+            end = len(key)
+            to = np.minimum(np.searchsorted(key, wanted), end - 1)
+            there = goes_on & (key[to] == wanted)
+            true = self._on_paths(np.where(there, to, end), np.searchsorted(key, (np.flatnonzero(first) << 32) + entry[first]))
+            unknown = goes_on & ~there
+            if not (unknown & true).any():
+                return out[true].astype(np.int32), add[true]
+            rounds += 1
+            new = np.unique(wanted[unknown if rounds < SPECULATIVE else unknown & true])
+
+    @staticmethod
+    def _on_paths(to: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Which entries are met from ``begins`` on, each followed by that at ``to`` (their number: by none). ``to`` is
+        composed with itself, so it leads one, two, four ... chunks on, and each time as many more are met."""
+        end = len(to)
+        to, met = np.append(to, end), np.zeros(end + 1, bool)
+        met[begins] = True
+        while (to < end).any():
+            met[to[met]] = True
+            to = to[to]
+        return met[:end]
+
     def count(self, texts: list[bytes]) -> np.ndarray:
         """Tokens of each normalised text (which ends in END)."""
         if len(self.keys) > MOST_STATES:
@@ -259,7 +328,9 @@ class Transducer:
         first = np.cumsum(lanes) - lanes
         nth = np.arange(len(text)) - np.repeat(first, lanes)
         begin = np.repeat(np.cumsum(sizes) - sizes, lanes) + nth * LANE
-        length = np.minimum(LANE, np.repeat(sizes, lanes) - nth * LANE)
+        for _ in range(3):  # to the next character
+            begin += (data[begin] & 0xC0) == 0x80
+        length = np.diff(begin, append=len(data))
         # the head of a chunk ends with its first ASCII white space; the tail is read from the start state
         spaces = np.flatnonzero(np.isin(data, [9, 10, 11, 12, 13, 32]))
         found = np.searchsorted(spaces, begin)
@@ -274,20 +345,17 @@ class Transducer:
         tails = np.flatnonzero(ready)
         states[tails], counts[tails] = self.run(np.full(len(tails), self.start, np.int32), body[tails],
                                                 (begin + length - body)[tails], data, columns)
-        todo = np.flatnonzero(nth > 0)
-        while len(todo):  # heads whose entry is known; a chunk without white space passes its state on
-            go = todo[states[todo - 1] >= 0]
-            after, more = self.run(states[go - 1], begin[go], head[go], data, columns)
-            counts[go] += more
-            states[go] = np.where(known[go], states[go], after)
-            rest = np.ones(len(text), bool)
-            rest[go] = False
-            todo = todo[rest[todo]]
+        open_chunks = np.flatnonzero(~ready)
+        if len(open_chunks):
+            states[open_chunks], counts[open_chunks] = self.scan(
+                states[open_chunks - 1], begin[open_chunks], length[open_chunks], data, columns)
+        heads = np.flatnonzero(known & (nth > 0))
+        counts[heads] += self.run(states[heads - 1], begin[heads], head[heads], data, columns)[1]
         return np.bincount(text, counts, len(texts)).astype(np.int64)
 
     def normalised(self, text: str) -> bytes:
         """Special strings apart, then composed and lower-cased character by character."""
-        if self.special and "<" in text:
+        if any(c in text for c in self.special_begins):
             parts = self.special.split(text)
             if len(parts) > 1:
                 return bytes([SPECIAL]).join(map(_lowered, parts)) + bytes([END])

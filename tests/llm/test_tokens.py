@@ -1,5 +1,6 @@
 """Operators 8 and 10 against the tokenizer library, and packing against its bounds."""
 
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -45,6 +46,47 @@ def test_transducer_starts_anew_when_full(monkeypatch):
     assert found == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def unbroken(n=60_000):
+    rng = random.Random(5)
+    return ["x" * n, "é" * n, "日本語" * n, "'" * n, "a's" * n, "🙂" * (n + 1), "ab" * n + " " + "ab" * n,
+            "".join(rng.choice("abAB09+/=é'") for _ in range(n)), "<|endoftext|>" + "y" * n + "<|endoftext|>" + "don" * n]
+
+
+@pytest.mark.parametrize("rounds", [16, 1])
+def test_chunk_maps_of_texts_without_white_space(monkeypatch, rounds):
+    from lakemart.llm import transducer
+    monkeypatch.setattr(transducer, "SPECULATIVE", rounds)
+    made, library = Transducer(WORDS), Tokenizer.from_file(WORDS)
+    texts = unbroken() if rounds == 16 else unbroken(3000) + EDGES + random_texts(100)
+    found = made.count([made.normalised(t) for t in texts])
+    assert found.tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_paths_through_composed_maps():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 7, 100):
+        to = np.minimum(np.arange(n) + rng.integers(1, 4, size=n), n)  # n: ends
+        begins = rng.choice(n, size=max(1, n // 20), replace=False)
+        want = np.zeros(n, bool)
+        for at in begins.tolist():
+            while at < n:
+                want[at], at = True, int(to[at])
+        assert (Transducer._on_paths(to, begins) == want).all()
+
+
+def test_other_tokenizer_files_are_refused(tmp_path):
+    spec = json.load(open(WORDS, encoding="utf-8"))
+    changes = {"normalizer": None, "pre_tokenizer": {"type": "Whitespace"}, "model": {**spec["model"], "unk_token": "<unk>"},
+               "added_tokens": [{**spec["added_tokens"][0], "lstrip": True}]}
+    for key, value in changes.items():
+        path = tmp_path / f"{key}.json"
+        path.write_text(json.dumps({**spec, key: value}), encoding="utf-8")
+        with pytest.raises(ValueError, match=key):
+            Transducer(str(path))
+    with pytest.raises(ValueError):
+        Transducer(BYTES)
+
+
 def test_token_counts_of_all_documents(shipped):
     library = Tokenizer.from_file(WORDS)
     texts = {r["doc_id"]: r["text"] or "" for r in shipped.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}

@@ -4,6 +4,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
 from conftest import SF_SMALL
 
 from lakemart.llm.sharding import VIRTUAL_SLOTS, assign_shards, first_map, grow, op2, rebalance
@@ -37,7 +38,8 @@ def test_odd_rows_and_stored_map(odd_documents):
         own = sorted(r["slot"] for r in rows if r["shard"] == shard)
         assert own == list(range(len(own)))
     stored = odd_documents.sparkSession.read.parquet(path)
-    assert stored.groupBy("version").count().collect() and stored.count() == 2 * VIRTUAL_SLOTS
+    assert {tuple(r) for r in stored.groupBy("version").count().collect()} == {(1, VIRTUAL_SLOTS), (2, VIRTUAL_SLOTS)}
+    assert {r["map_version"] for r in rows} == {2}
     assert stored.where("version = 1").select("shard").distinct().count() == 4
 
 
@@ -45,6 +47,47 @@ def test_empty_table(no_documents):
     assert assign_shards(no_documents, 16)[0].count() == 0
 
 
+def rows_by_shard(spark, docs, shards, path):
+    rows = assign_shards(docs, shards, path)[0].collect()
+    for shard in range(shards):
+        own = sorted(r["slot"] for r in rows if r["shard"] == shard)
+        assert own == list(range(len(own)))
+    return rows
+
+
+def test_a_kept_map_is_edited_by_later_runs(shipped, tmp_path):
+    path = str(tmp_path / "map")
+    first, second = (shipped.range(lo, lo + 3000).selectExpr("id AS doc_id", "repeat('word ', int(id % 97)) AS text")
+                     for lo in (0, 10_000))
+    one = rows_by_shard(shipped, first, 4, path)
+    assert {r["map_version"] for r in one} == {2}
+    assert {r["map_version"] for r in rows_by_shard(shipped, first, 4, path)} == {2}  # nothing to edit
+    two = rows_by_shard(shipped, second, 4, path)
+    assert {r["map_version"] for r in two} == {3}
+    three = rows_by_shard(shipped, second, 5, path)
+    assert {r["map_version"] for r in three} <= {4, 5} and {r["shard"] for r in three} == set(range(5))
+    grown = dict(shipped.read.parquet(path).where("version = 4").select("virtual_slot", "shard").collect())
+    kept = dict(shipped.read.parquet(path).where("version = 3").select("virtual_slot", "shard").collect())
+    assert {grown[s] for s in grown if grown[s] != kept[s]} == {4}
+    again = shipped.read.parquet(path)
+    assert again.count() == VIRTUAL_SLOTS * again.agg({"version": "max"}).first()[0]
+    with pytest.raises(ValueError, match="has 5 shards"):
+        assign_shards(first, 4, path)
+    rows = assign_shards(first.limit(0), 5, path)[0]
+    assert rows.count() == 0 and shipped.read.parquet(path).count() == again.count()
+
+
+def test_equal_rows_without_doc_id_are_numbered_in_pieces(shipped, monkeypatch):
+    from lakemart.llm import sharding
+    monkeypatch.setattr(sharding, "PIECE", 10)
+    docs = shipped.range(3000).selectExpr("if(id % 3 = 0, NULL, id) AS doc_id", "if(id % 3 = 0, 'same', string(id)) AS text")
+    rows = rows_by_shard(shipped, docs, 4, None)
+    assert len(rows) == 3000
+    equal = [r for r in rows if r["doc_id"] is None]
+    assert len(equal) == 1000 and len({(r["shard"], r["slot"]) for r in equal}) == 1000
+    assert Counter(r["doc_id"] for r in rows if r["doc_id"] is not None).most_common(1)[0][1] == 1
+
+
 def test_rebalance_moves_only_what_helps():
     rng = random.Random(1)
     sizes = [int(rng.paretovariate(1.5) * 100) for _ in range(VIRTUAL_SLOTS)]

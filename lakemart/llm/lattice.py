@@ -7,8 +7,9 @@ of its points gives way to one of the ``PROBES`` neighbouring points nearest to
 projection. Vectors that meet in a cell are compared.
 
 Copies collapse to one class first. In each cell the members are compared with two hubs,
-so a large group of near copies joins up in linear work; then every pair in a cell whose
-members are still in different components is compared. A link joins its ends' components, so
+so a large group of near copies joins up in linear work; then the members of each cell that still
+holds different components are compared in blocks, by matrix products in tasks that give no more
+than one link a member (cells of the same members are compared once). A link joins its ends' components, so
 links are counted within components: members are dealt to blocks, small components many to
 a block, and each pair of blocks of one component is one matrix product.
 """
@@ -35,6 +36,7 @@ PROBES = 3
 SCALE = 4.0  # of unit vectors, for 64 dimensions; other lengths alike
 SEED = 8
 BLOCK_ROWS = 2048  # vectors of a component that are multiplied at once
+CELL_ROWS = 512  # and of an open cell
 
 
 def _roots() -> np.ndarray:
@@ -167,6 +169,50 @@ def _link_counts(members: DataFrame, least: float) -> DataFrame:
     return counted.groupBy("id").agg(F.sum("links").alias("links"))
 
 
+def _closing_links(open_lists: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Links ``(a, b)`` between the components that meet in open cells (``key, id, component``: a member and its
+    component), enough of them to join what they join. A task holds two blocks of a cell, or many small cells."""
+    prints = open_lists.groupBy("key").agg(
+        F.count("*").alias("c"), F.bit_xor(F.xxhash64("id")).alias("xa"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("xb"))
+    once = prints.groupBy("c", "xa", "xb").agg(F.min("key").alias("key")).select("key")
+    members = cut_lineage(open_lists.join(once, "key", "left_semi"), "op5-open-members")
+    # dealt out without vectors, which join what each task compares
+    rows = block_pairs(members, "key", CELL_ROWS, both_ways=False)
+    rows = rows.join(classes.select("id", "vector"), "id").select(
+        "only", "i", "j", "key", "id", "component", "is_row", "is_col", "vector")
+
+    def run(key, group):
+        group = group.sort_by("key")
+        ids, component = group.column("id").to_numpy(), group.column("component").to_numpy()
+        is_row, is_col = (group.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("is_row", "is_col"))
+        found = [np.zeros((2, 0), np.int64)]
+        for a, b in segments(group.column("key").to_numpy()):
+            for at, x in by_length(group.column("vector").slice(a, b - a)):
+                at = at + a
+                unit, r, c = _unit(x), is_row[at], is_col[at]
+                link = np.zeros((len(at), len(at)), bool)
+                link[np.ix_(r, c)] = (unit[r] @ unit[c].T >= least) & (component[at[r]][:, None] != component[at[c]][None])
+                link |= link.T
+                low = _least_reached(link)
+                joined = np.flatnonzero(low != np.arange(len(at)))
+                found.append(np.stack([ids[at[joined]], ids[at[low[joined]]]]))
+        found = np.concatenate(found, axis=1).astype(np.int64)
+        return pa.table({"a": found[0], "b": found[1]})
+    return rows.groupBy("only", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def _least_reached(link: np.ndarray) -> np.ndarray:
+    """The least number that each of n reaches by symmetric links."""
+    n = len(link)
+    name = np.arange(n, dtype=np.int32)
+    while True:
+        low = np.minimum(name, np.where(link, name[None], np.int32(n)).min(1))
+        low = np.minimum(low, low[low])
+        if (low == name).all():
+            return name
+        name = low
+
+
 def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row of ``vectors(vec_id, embedding)``.
 
@@ -191,9 +237,7 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
              .where("c > 2 AND lo <> hi").select("key"))  # a list of two has been compared
     open_lists = cut_lineage(lists.join(mixed, "key", "left_semi"), "op5-open")
     if not open_lists.isEmpty():
-        other = open_lists.select("key", F.col("id").alias("hub"), F.col("component").alias("hc"))
-        rest = open_lists.join(other, "key").where("component < hc").select(*pair).distinct()
-        more = cut_lineage(_verified(rest, classes, least), "op5-links")
+        more = cut_lineage(_closing_links(open_lists, classes, least).distinct(), "op5-links")
         if not more.isEmpty():
             labels = cut_lineage(connected_components(edges.union(more)), "op5-labels")
 

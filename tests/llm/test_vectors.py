@@ -56,6 +56,51 @@ def test_large_components_are_counted_in_blocks(shipped, monkeypatch):
     assert {(r["n_links"], r["component_id"]) for r in found} == {(99, 0)}
 
 
+def cloud(n, d=64, cosine=0.8, seed=7):
+    """Vectors about one direction, with about this cosine between any two: none linked but a few planted ones."""
+    rng = np.random.default_rng(seed)
+    noise = rng.normal(size=(n, d)) * math.sqrt((1 / cosine - 1) / d)
+    x = rng.normal(size=d)
+    x = x / np.linalg.norm(x) + noise
+    for i in range(0, n // 10, 2):
+        x[i + 1] = x[i] + rng.normal(size=d) * 0.01
+    return x
+
+
+@pytest.mark.parametrize("rows", [512, 16])
+def test_a_dense_cloud_is_closed_in_blocks(shipped, monkeypatch, rows):
+    from lakemart.llm import lattice
+    monkeypatch.setattr(lattice, "CELL_ROWS", rows)
+    x = cloud(600)
+    x[100:200] = x[100] + 0.02 * (x[100:200] - x.mean(0))  # a group that joins up at once
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    cos = unit @ unit.T
+    links = (cos >= 0.9) & ~np.eye(len(x), dtype=bool)
+    assert not ((cos > 0.899999) & (cos < 0.900001)).any()
+    found = {r["vec_id"]: r for r in near_vectors(frame(shipped, [(i, [float(v) for v in r]) for i, r in enumerate(x)])).collect()}
+    got = np.array([found[i]["n_links"] for i in range(len(x))])
+    assert (got <= links.sum(1)).all() and got.sum() >= 0.98 * links.sum()
+    assert {found[i]["component_id"] for i in range(101, 200)} == {found[100]["component_id"]}
+
+
+def test_links_of_open_cells_join_what_all_pairs_join(shipped):
+    from lakemart.llm.common import connected_components
+    from lakemart.llm.lattice import _closing_links
+    x = np.concatenate([cloud(40, seed=1), cloud(40, seed=2)])
+    classes = shipped.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vector array<double>")
+    cells = [(k, i, i) for k, ids in enumerate([range(0, 40), range(0, 40), range(20, 60), range(78, 80)]) for i in ids]
+    lists = shipped.createDataFrame(cells, "key long, id long, component long")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    shared = np.zeros((80, 80), bool)
+    for ids in (range(0, 40), range(20, 60), range(78, 80)):
+        shared[np.ix_(ids, ids)] = True
+    a, b = np.nonzero(shared & (unit @ unit.T >= 0.9) & ~np.eye(80, dtype=bool))
+    want = shipped.createDataFrame([(int(p), int(q)) for p, q in zip(a, b)], "a long, b long")
+    assert len(a) >= 2
+    found = _closing_links(lists, classes, 0.9)
+    assert sorted(connected_components(found).collect()) == sorted(connected_components(want).collect())
+
+
 def test_odd_vectors(shipped):
     found = near_vectors(frame(shipped, odd_rows())).collect()
     assert len(found) == 13

@@ -181,7 +181,7 @@ def assign_shards(docs: DataFrame, shards: int = 16, map_path: str | None = None
     within = (Window.partitionBy("virtual_slot", "cell").orderBy("doc_id", "text_crc32", "size", "piece")
               .rowsBetween(Window.unboundedPreceding, -1))
     numbered = pieces.withColumn("k", F.coalesce(F.sum("n").over(within), F.lit(0)))
-    placed = numbered.join(F.broadcast(offsets), ["virtual_slot", "cell"])  # VIRTUAL_SLOTS * CELLS rows at most
+    placed = numbered.join(offsets.hint("merge"), ["virtual_slot", "cell"])  # the window's partitions, nothing is moved again
     placed = placed.withColumn("nth", F.explode(F.expr("sequence(0L, n - 1)")))
     out = placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                         (F.col("at") + F.col("k") + F.col("nth")).cast("long").alias("slot"),

@@ -11,11 +11,12 @@ after that.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 from tokenizers import Tokenizer
 
-from lakemart.llm.textops import Chunk, KeyTable, _power_tables, mix64
+from lakemart.llm.textops import CHUNK_BYTES, Chunk, KeyTable, _power_tables, mix64
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: Unicode White_Space (fixed values).
@@ -84,6 +85,31 @@ def cuts(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin)
 
 
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[33:127] = True
+
+
+def whole_piece_parts(chunk: Chunk, part_bytes: int = CHUNK_BYTES) -> Iterator[Chunk]:
+    """A chunk as it is, or one long text in parts that share no piece: a part ends before a blank with a
+    visible ASCII sign on either side, where a piece begins whatever else the text holds. A part is longer than
+    ``part_bytes`` only as far as there is no such blank."""
+    data, size, lo = chunk.data, len(chunk.data), 0
+    if chunk.n > 1 or size <= part_bytes:
+        yield chunk
+        return
+    while lo < size:
+        hi, found = lo + part_bytes, False
+        while hi + 1 < size and not found:
+            window = data[hi - 1:hi + part_bytes + 1]
+            at = np.flatnonzero((window[1:-1] == 32) & _VISIBLE[window[:-2]] & _VISIBLE[window[2:]])
+            found = len(at) > 0
+            hi += int(at[0]) if found else part_bytes
+        if not found:
+            hi = size
+        yield Chunk(chunk.first, data[lo:hi], np.array([0, hi - lo]))
+        lo = hi
+
+
 class PieceIds:
     """Ids of pieces by a tokenizer's model, kept by the piece's 64-bit hash."""
 
@@ -121,8 +147,15 @@ class PieceIds:
         self.n += len(keys)
         self.used += total
 
-    def encode(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of a chunk's texts one after the other, and each text's bounds in them."""
+    def encode(self, chunk: Chunk, part_bytes: int = CHUNK_BYTES) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a chunk's texts one after the other, and each text's bounds in them. One text of more than
+        ``part_bytes`` is encoded in parts that share no piece."""
+        if chunk.n > 1 or len(chunk.data) <= part_bytes:
+            return self._encode_part(chunk)
+        ids = np.concatenate([self._encode_part(part)[0] for part in whole_piece_parts(chunk, part_bytes)])
+        return ids, np.array([0, len(ids)])
+
+    def _encode_part(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         points, bounds = code_points(chunk)
         begin = cuts(points, bounds)
         if not len(begin):

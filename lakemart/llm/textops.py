@@ -3,8 +3,8 @@
 Words are runs of bytes other than space and ``\\t \\n \\v \\f \\r``, with A-Z lowered.
 A word's 64-bit hash is a polynomial over its bytes, scrambled; a shingle's hash
 combines the hashes of its words. Work goes in chunks of whole texts, of about
-``CHUNK_BYTES`` bytes, so memory per task stays small whatever the batch holds (one
-longer text is one chunk).
+``CHUNK_BYTES`` bytes, so memory per task stays small whatever the batch holds. A longer
+text is one chunk, but its words are found part by part.
 """
 
 from __future__ import annotations
@@ -133,9 +133,24 @@ NOT_LETTER = np.ones(256, dtype=bool)
 NOT_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
-def find_words(chunk: Chunk, between: np.ndarray = _SPACE, lower: bool = True) -> Words:
-    """The words of each text of a chunk, runs of bytes not in ``between``, with the hashes of their lower
-    case (of their own bytes without ``lower``)."""
+def find_words(chunk: Chunk, between: np.ndarray = _SPACE, lower: bool = True, part_bytes: int = CHUNK_BYTES) -> Words:
+    """The words of each text of a chunk, runs of bytes not in ``between`` (which has all white space), with the
+    hashes of their lower case (of their own bytes without ``lower``). One text of more than ``part_bytes`` is
+    read in parts that end at white space, so what is held for each byte of it is held for a part alone."""
+    if chunk.n > 1 or len(chunk.data) <= part_bytes:
+        return _words_of(chunk, between, lower)
+    start, end, hashes = [], [], []
+    for part, at in text_parts(chunk, part_bytes):
+        words = _words_of(part, between, lower)
+        start.append(words.start + at)
+        end.append(words.end + at)
+        hashes.append(words.hash)
+    total = sum(map(len, hashes))
+    return Words(np.concatenate(start), np.concatenate(end), np.zeros(total, np.int64), np.concatenate(hashes),
+                 np.array([total]), np.array([0, total]))
+
+
+def _words_of(chunk: Chunk, between: np.ndarray, lower: bool) -> Words:
     data = _LOWER[chunk.data] if lower else chunk.data
     size, n = len(data), chunk.n
     if not size:

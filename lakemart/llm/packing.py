@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.common import llm_query, table
 from lakemart.llm.textops import SMALL_BYTES, release_memory, text_chunks
-from lakemart.session import cut_lineage, scoped_conf, shuffle_partitions
+from lakemart.session import cut_lineage, scoped_conf
 
 CAPACITY = 2048
 CLOSING_ID = 0
@@ -31,7 +31,7 @@ SLACK = 4  # a bin with less room than this is nearly full
 FAN_IN = 8
 MOST_ITEMS = 500_000
 BATCH_ROWS = 2000  # texts sent to a worker at once, beside its table of pieces
-FEW_ITEMS = 4096  # partitions are not made smaller than this
+FIRST_ITEMS = 1 << 16  # pieces of a group of the first round
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -117,8 +117,10 @@ def _packed(table: pa.Table, number: int, capacity: int) -> pa.Table:
     return table
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, fan_in: int = FAN_IN, most_items: int = MOST_ITEMS) -> DataFrame:
-    """``pieces`` (a table with ``length``, 1 to ``capacity``) with ``sequence_id`` and ``offset``."""
+def pack(pieces: DataFrame, capacity: int = CAPACITY, fan_in: int = FAN_IN, most_items: int = MOST_ITEMS,
+         first_items: int = FIRST_ITEMS) -> DataFrame:
+    """``pieces`` (a table with ``length``, 1 to ``capacity``) with ``sequence_id`` and ``offset``. The number of
+    groups follows from the number of pieces alone."""
     def first_round(batches):
         number, held, n, sub = TaskContext.get().partitionId(), [], 0, 0
         for batch in batches:
@@ -134,8 +136,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, fan_in: int = FAN_IN, most
         return _packed(group, key[0].as_py(), capacity).select(["item", "bin", "offset", "fill"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    rows = pieces.count()
-    parts = max(1, min(-(-rows // FEW_ITEMS), max(shuffle_partitions(pieces.sparkSession), -(-rows // most_items))))
+    parts = max(1, -(-pieces.count() // min(first_items, most_items)))
     dealt = pieces.repartition(parts)  # evenly, in the order of a hash of the rows
     placed = cut_lineage(dealt.mapInArrow(first_round, f"{schema}, bin long, offset long, fill long"), "op10-bins")
 

@@ -160,12 +160,12 @@ def test_best_fit_takes_the_fullest_bin():
     assert fill == [10, 10] and bins.tolist() == [0, 1, 0, 1, 1] and offsets.tolist() == [0, 0, 6, 5, 8]
 
 
-@pytest.mark.parametrize("most", [500_000, 7])
-def test_rounds_merge_what_partitions_leave(shipped, most):
+@pytest.mark.parametrize("most, first", [(500_000, 1 << 16), (500_000, 20), (7, 1 << 16)])
+def test_rounds_merge_what_partitions_leave(shipped, most, first):
     rng = random.Random(3)
     items = [(i, rng.randint(1, 99)) for i in range(400)]
     pieces = shipped.createDataFrame(items, "item_no int, length long").repartition(40)
-    rows = pack(pieces, capacity=100, fan_in=4, most_items=most).collect()
+    rows = pack(pieces, capacity=100, fan_in=4, most_items=most, first_items=first).collect()
     held = defaultdict(int)
     for r in sorted(rows, key=lambda r: r["offset"]):
         assert held[r["sequence_id"]] == r["offset"]
@@ -185,3 +185,20 @@ def test_partitions_of_one_length_are_packed_together(shipped):
     for r in rows:
         held[r["sequence_id"]] += r["length"]
     assert max(held.values()) <= 2048 and len(held) <= 1.05 * len(best_fit(np.array([n for _, n in items]), 2048)[2])
+
+
+LONG_TEXTS = ["plain words and don't we'll they're I'd " * 9, "a" * 700, "été ß 日本語 x  y \n\n z 12 34,56 ' s 's a 's b" * 11,
+              " " * 300 + "end", "no.blank.at.all" * 30, "a b" * 90, "'ll 're we 'll be", "lone tail a ", "word " * 60]
+
+
+@pytest.mark.parametrize("part_bytes", [2, 7, 64, 200])
+@pytest.mark.parametrize("text", LONG_TEXTS)
+def test_a_long_text_in_parts_has_the_same_ids_and_words(text, part_bytes):
+    from lakemart.llm.textops import NOT_LETTER, find_words
+    chunk = next(text_chunks(pa.array([text])))
+    ids, bounds = PieceIds(BYTES).encode(chunk, part_bytes)
+    assert ids.tolist() == Tokenizer.from_file(BYTES).encode(text, add_special_tokens=False).ids and bounds.tolist() == [0, len(ids)]
+    for options in ({}, {"between": NOT_LETTER}, {"lower": False}):
+        whole, parts = find_words(chunk, **options), find_words(chunk, part_bytes=part_bytes, **options)
+        for name in ("start", "end", "doc", "hash", "per_doc", "first"):
+            assert getattr(whole, name).tolist() == getattr(parts, name).tolist()

@@ -3,13 +3,15 @@
 Vectors become integers. Candidates are dealt to blocks, queries too, and each pair of blocks
 is one group of a Spark job. In a group every dimension is a list of the block's candidates
 sorted by component; a query reads it from the top where its own component is positive
-and from the bottom where it is negative, so that contributions fall. All lists
-are read to the same depth, in growing steps. What is read gives each candidate a lower bound
-(components not read yet count as the list's last) and an upper bound (they count as the last one
-read). Candidates whose upper bound is below the k-th best lower bound can't qualify. A query
-stops when all but a few can't, and the scores of those few are resolved; a query that never gets
-there reads its lists to the end. The bounds of all queries of a group that are still reading are computed
-together. The best of each block meet in a window by query.
+and from the bottom where it is negative, so that contributions fall. The lists are read in rounds
+and to uneven depths: a round has a width, and each list is read on until what its unread entries can
+still contribute differs by that width at most. So lists of large query components are read nearly to the
+end, and lists of small ones hardly at all. What is read adds up to a partial sum for each candidate.
+Its lower bound counts an unread list as the list's last contribution, its upper bound as the last one read; an
+entry also brings its row's squared length, so the unread rest is bounded by the lengths of the query's and the
+row's unread components (Cauchy-Schwarz) as well. Candidates whose upper bound is below the k-th best lower bound
+can't qualify. A query stops when all but a few can't, and the scores of those few are resolved. The
+best of each block meet in a window by query.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from lakemart.session import cut_lineage
 SCALE = 256
 CANDIDATE_ROWS = 4096
 QUERY_ROWS = 1024
-DEPTHS = (0.125, 0.25, 0.5, 0.75)  # of a list, before its end
+WIDTHS = (*(2.0**-(j / 2) for j in range(2, 17)), 0.0)  # of the rounds, as shares of the widest list's; 0 reads all
 RESOLVED = 8  # times k: so few candidates that may still qualify are resolved at once
 EXACT = 2.0**53  # sums of integers below it are exact in double precision
 
@@ -55,7 +57,8 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
 
 
 def top_of_block(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int):
-    """For each query the k best rows of a block: query places, ids, scores. A query's own id is no candidate."""
+    """For each query the k best rows of a block: query places, ids, scores, and beside the best one how many
+    entries of the lists were read (0 beside the others). A query's own id is no candidate."""
     big = np.abs(queries).astype(np.float64).max(initial=0) * np.abs(x).astype(np.float64).max(initial=0) * x.shape[1]
     if big >= EXACT:  # too large for exact sums in double precision: Python integers
         scores = queries.astype(object) @ x.T.astype(object)
@@ -63,50 +66,80 @@ def top_of_block(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids:
         for q in range(len(queries)):
             others = np.flatnonzero(ids != query_ids[q])
             order = sorted(others.tolist(), key=lambda i: (-scores[q, i], ids[i]))[:k]
-            out += [(q, ids[i], min(max(scores[q, i], -(2**63)), 2**63 - 1)) for i in order]
-        return tuple(np.array([o[j] for o in out], np.int64) for j in range(3))
+            out += [(q, ids[i], min(max(scores[q, i], -(2**63)), 2**63 - 1), 0 if n else x.size) for n, i in enumerate(order)]
+        return tuple(np.array([o[j] for o in out], np.int64) for j in range(4))
     x, queries = x.astype(np.float64), queries.astype(np.float64)
-    n = len(x)
-    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    lists = np.sort(x, axis=0)  # ascending: read from the end for positive components, from the start for negative ones
-    reading = np.arange(len(queries))
-    found: list[tuple] = []
-    for depth in (*DEPTHS, 1.0):
-        if not len(reading):
-            break
-        read = min(n, max(k + 1, int(np.ceil(depth * n))))
-        p, m = up[reading], down[reading]
-        own = query_ids[reading][:, None] == ids[None]
-        if read == n:
-            upper = lower = p @ x.T + m @ x.T
-            upper[own] = -np.inf
+    order = np.argsort(x, axis=0, kind="stable").T.copy()
+    values = np.take_along_axis(x.T, order, 1)
+    squares = (x**2).sum(1)
+    out = []
+    for q, query in enumerate(queries):
+        others = ids != query_ids[q]
+        at, n_read = _read_lists(query, others, order, values, squares, k)
+        scores = x[at] @ query  # resolve the final scores of those that may still qualify
+        best = _best(ids[at], scores, k)
+        out.append((np.full(len(best), q), ids[at[best]], scores[best], np.where(np.arange(len(best)) == 0, n_read, 0)))
+    return tuple(np.concatenate([o[j] for o in out]).astype(np.int64) if out else np.zeros(0, np.int64) for j in range(4))
+
+
+def _read_lists(query: np.ndarray, others: np.ndarray, order: np.ndarray, values: np.ndarray, squares: np.ndarray, k: int):
+    """The candidates that may be among the ``k`` best of ``others``, and the number of entries read to tell."""
+    d, n = values.shape
+    weight = np.abs(query)
+    highest = np.where(query < 0, -values[:, 0], values[:, -1]) * weight  # contributions of each list's first entry
+    least = np.where(query < 0, -values[:, -1], values[:, 0]) * weight  # and of its last
+    widest = (highest - least).max(initial=0)
+    # how deep each round reads each list: up to the entries within the round's width of the last
+    depths = np.zeros((d, len(WIDTHS)), np.int64)
+    widths = widest * np.array(WIDTHS)
+    for i in np.flatnonzero(weight).tolist():
+        room = widths / weight[i]
+        if query[i] > 0:
+            depths[i] = n - np.searchsorted(values[i], values[i, 0] + room, side="right")
+        else:
+            depths[i] = np.searchsorted(values[i], values[i, -1] - room, side="left")
+    depths[:, -1] = n
+    few = max(RESOLVED * k, k)
+    part, ends, unread, query_rest, row_rest = np.zeros(n), np.full(n, least.sum()), np.full(n, d), np.full(n, weight @ weight), squares.copy()
+    all_query = float(weight @ weight)
+    before, total = np.zeros(d, np.int64), 0
+    alive = np.flatnonzero(others)
+    for round_, after in enumerate(depths.T):
+        new = after - before
+        lists = np.flatnonzero(new)
+        if not len(lists) and round_ + 1 < len(WIDTHS):
+            continue
+        cuts = [(i, slice(n - after[i], n - before[i]) if query[i] > 0 else slice(before[i], after[i])) for i in lists.tolist()]
+        if cuts:
+            row = np.concatenate([order[i, cut] for i, cut in cuts])
+            value = np.concatenate([values[i, cut] for i, cut in cuts])
+            size = new[lists]
+            part += np.bincount(row, value * np.repeat(query[lists], size), n)
+            ends -= np.bincount(row, np.repeat(least[lists], size), n)
+            query_rest -= np.bincount(row, np.repeat(weight[lists] ** 2, size), n)
+            row_rest -= np.bincount(row, value**2, n)
+            unread -= np.bincount(row, minlength=n)
+            total += len(row)
+        before = np.maximum(before, after)
+        if round_ + 1 == len(WIDTHS):  # all is read
+            lower = upper = part
         else:
-            top, bottom = lists[n - read], lists[read - 1]  # the last components read
-            high, low = x >= top, x <= bottom  # read from the end, from the start
-            upper = p @ np.where(high, x, top).T + m @ np.where(low, x, bottom).T
-            lower = p @ np.where(high, x, lists[0]).T + m @ np.where(low, x, lists[-1]).T
-            upper[own], lower[own] = -np.inf, -np.inf
-        some = min(k, n)
-        level = np.partition(lower, n - some, axis=1)[:, n - some]  # the k-th best lower bound
-        outside = upper >= level[:, None]
-        outside &= ~own
-        count = outside.sum(1)
-        # done when all but a few can't qualify any more, or all is read
-        done = np.flatnonzero((count <= RESOLVED * k) | (read == n))
-        for r in done.tolist():
-            q = int(reading[r])
-            at = np.flatnonzero(outside[r])
-            scores = lower[r, at] if read == n else x[at] @ queries[q]  # resolve the final scores
-            best = at[_best(ids[at], scores, k)]
-            found.append((np.full(len(best), q), ids[best], (x[best] @ queries[q]).astype(np.int64)))
-        reading = np.delete(reading, done)
-    if not found:
-        return (np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate([f[j] for f in found]).astype(np.int64) for j in range(3))
-
-
-def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
-    """``query_id, rank, vec_id, score`` of each row of ``queries`` among ``candidates``, both of
+            last = np.where(before > 0, np.where(query < 0, -values[np.arange(d), np.maximum(before, 1) - 1],
+                                                 values[np.arange(d), n - np.maximum(before, 1)]) * weight, highest)
+            open_ = np.concatenate([[0], np.cumsum(-np.sort(least - last))])  # what so many unread lists can add at most
+            low = part + ends
+            rest = np.sqrt(np.maximum(query_rest + 1e-12 * all_query, 0) * np.maximum(row_rest + 1e-12 * squares, 0)) * (1 + 1e-9) + 1
+            lower, upper = np.maximum(low, part - rest), np.minimum(low + open_[unread], part + rest)
+        if len(alive) > k:
+            level = np.partition(lower[alive], len(alive) - k)[len(alive) - k]  # the k-th best lower bound
+            alive = alive[upper[alive] >= level]
+        if len(alive) <= few:
+            break
+    return alive, total
+
+
+def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, reads: bool = False) -> DataFrame:
+    """``query_id, rank, vec_id, score`` (with ``reads`` also ``entries_read`` and ``entries``, those of all lists) of each row of ``queries`` among ``candidates``, both of
     ``integer_vectors``. Only vectors of one length meet; a query with fewer candidates gets all.
 
     Ties go to the smaller vec_id. Rows that repeat a vec_id are candidates each, but none for a query
@@ -124,16 +157,23 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
     def run(key, group):
         asks = group.column("asks").to_numpy(zero_copy_only=False).astype(bool)
         ids, x = group.column("vec_id").to_numpy(), matrix_of(group.column("vector"))
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
+        empty = pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score", "n_read", "n_all")})
         if asks.all() or not asks.any():
             return empty
-        q, found, score = top_of_block(x[asks], ids[asks], x[~asks], ids[~asks], k)
-        return pa.table({"query_id": ids[asks][q], "vec_id": found, "score": score}) if len(q) else empty
+        q, found, score, n_read = top_of_block(x[asks], ids[asks], x[~asks], ids[~asks], k)
+        n_all = np.where(n_read > 0, x[~asks].size, 0)
+        return pa.table({"query_id": ids[asks][q], "vec_id": found, "score": score, "n_read": n_read, "n_all": n_all}) if len(q) else empty
     both = sides[0].unionByName(sides[1])
-    best = both.groupBy("size", "i", "j").applyInArrow(run, "query_id long, vec_id long, score long")
+    best = both.groupBy("size", "i", "j").applyInArrow(run, "query_id long, vec_id long, score long, n_read long, n_all long")
+    if reads:
+        best = cut_lineage(best, "op7-blocks")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    ranked = (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+              .select("query_id", "rank", "vec_id", "score"))
+    if not reads:
+        return ranked
+    work = best.groupBy("query_id").agg(F.sum("n_read").alias("entries_read"), F.sum("n_all").alias("entries"))
+    return ranked.join(work, "query_id")
 
 
 ORACLE_SQL = """

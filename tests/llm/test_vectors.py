@@ -4,7 +4,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import SF_SMALL
+from conftest import SF_CHECK, SF_SMALL
 
 from lakemart.llm.lattice import ROOTS, decode, near_vectors
 from lakemart.llm.topk import integer_vectors, op7, top_k, top_of_block
@@ -161,7 +161,37 @@ def test_large_integers_stay_exact(size):
     rng = np.random.default_rng(9)
     x = (rng.integers(-1000, 1000, size=(50, 6)) * int(size)).astype(np.int64)
     ids = np.arange(50)
-    found = set(zip(*(a.tolist() for a in top_of_block(x[:3], ids[:3], x, ids, 4))))
+    found = set(zip(*(a.tolist() for a in top_of_block(x[:3], ids[:3], x, ids, 4)[:3])))
     want = {(q, i, max(-(2**63), min(2**63 - 1, s))) for q, _, i, s in brute_top([(i, x[i].tolist()) for i in range(3)],
                                                                                 [(i, x[i].tolist()) for i in range(50)], 4)}
     assert found == want
+
+
+@pytest.mark.parametrize("name", ["random", "copies", "uneven", "small", "zeros", "few"])
+def test_bounds_leave_out_no_row_of_the_best(name):
+    rng = np.random.default_rng(11)
+    n, d = (4, 6) if name == "few" else (700, 24)
+    x = rng.normal(size=(n, d)) * 256
+    if name == "copies":
+        x = x[rng.integers(0, 5, n)]
+    elif name == "uneven":
+        x *= np.exp(rng.normal(size=d) * 2)
+    elif name == "small":
+        x /= 128
+    elif name == "zeros":
+        x *= rng.random((n, d)) < 0.05
+    x, ids = np.floor(x).astype(np.int64), rng.permutation(n) * 3
+    places = np.arange(0, n, max(1, n // 30))
+    q, found, score, _ = top_of_block(x[places], ids[places], x, ids, 5)
+    scores = x[places] @ x.T
+    for j, p in enumerate(places):
+        rest = [i for i in range(n) if i != p]
+        want = sorted((-int(scores[j, i]), int(ids[i])) for i in rest)[:5]
+        assert [(-int(s), int(i)) for s, i in zip(score[q == j], found[q == j])] == want
+
+
+def test_queries_stop_early_on_the_given_vectors(shipped):
+    vectors = integer_vectors(shipped.read.parquet(f"{SF_CHECK}/embeddings.parquet"))
+    rows = top_k(vectors.where("vec_id % 50 = 0"), vectors, 5, reads=True).where("rank = 1").collect()
+    shares = [r["entries_read"] / r["entries"] for r in rows]
+    assert len(shares) == 10 and max(shares) < 0.95

@@ -7,11 +7,9 @@ and from the bottom where it is negative, so that contributions fall. The lists
 and to uneven depths: a round has a width, and each list is read on until what its unread entries can
 still contribute differs by that width at most. So lists of large query components are read nearly to the
 end, and lists of small ones hardly at all. What is read adds up to a partial sum for each candidate.
-Its lower bound counts an unread list as the list's last contribution, its upper bound as the last one read; an
-entry also brings its row's squared length, so the unread rest is bounded by the lengths of the query's and the
-row's unread components (Cauchy-Schwarz) as well. Candidates whose upper bound is below the k-th best lower bound
-can't qualify. A query stops when all but a few can't, and the scores of those few are resolved. The
-best of each block meet in a window by query.
+Its lower bound counts an unread list as the list's last contribution, its upper bound as the last one read.
+Candidates whose upper bound is below the k-th best lower bound can't qualify, and their sums end. A query stops
+when all but a few can't, and the scores of those few are resolved. The best of each block meet in a window by query.
 """
 
 from __future__ import annotations
@@ -30,9 +28,10 @@ from lakemart.session import cut_lineage
 SCALE = 256
 CANDIDATE_ROWS = 4096
 QUERY_ROWS = 1024
-WIDTHS = (*(2.0**-(j / 2) for j in range(2, 17)), 0.0)  # of the rounds, as shares of the widest list's; 0 reads all
-RESOLVED = 8  # times k: so few candidates that may still qualify are resolved at once
-EXACT = 2.0**53  # sums of integers below it are exact in double precision
+WIDTHS = (1 / 4, 1 / 8, 1 / 16, *(2.0**-(j / 2) for j in range(9, 17)), 0.0)  # of the rounds, as shares of the widest list's; 0 reads all
+RESOLVED = 32  # times k: so few candidates that may still qualify are resolved at once
+DROPPED = 0.8  # when fewer of the rows can still qualify, the sums of the others end
+EXACT = 2.0**52  # sums of integers below it, counted from the lists' ends, are exact in double precision
 
 
 def integer_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -71,76 +70,72 @@ def top_of_block(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids:
     x, queries = x.astype(np.float64), queries.astype(np.float64)
     order = np.argsort(x, axis=0, kind="stable").T.copy()
     values = np.take_along_axis(x.T, order, 1)
-    squares = (x**2).sum(1)
+    above, below = values - values[:, :1], values[:, -1:] - values  # what an entry has beyond its list's last
     out = []
     for q, query in enumerate(queries):
         others = ids != query_ids[q]
-        at, n_read = _read_lists(query, others, order, values, squares, k)
+        at, n_read = _read_lists(query, others, order, above, below, k)
         scores = x[at] @ query  # resolve the final scores of those that may still qualify
         best = _best(ids[at], scores, k)
         out.append((np.full(len(best), q), ids[at[best]], scores[best], np.where(np.arange(len(best)) == 0, n_read, 0)))
     return tuple(np.concatenate([o[j] for o in out]).astype(np.int64) if out else np.zeros(0, np.int64) for j in range(4))
 
 
-def _read_lists(query: np.ndarray, others: np.ndarray, order: np.ndarray, values: np.ndarray, squares: np.ndarray, k: int):
-    """The candidates that may be among the ``k`` best of ``others``, and the number of entries read to tell."""
-    d, n = values.shape
-    weight = np.abs(query)
-    highest = np.where(query < 0, -values[:, 0], values[:, -1]) * weight  # contributions of each list's first entry
-    least = np.where(query < 0, -values[:, -1], values[:, 0]) * weight  # and of its last
-    widest = (highest - least).max(initial=0)
-    # how deep each round reads each list: up to the entries within the round's width of the last
-    depths = np.zeros((d, len(WIDTHS)), np.int64)
-    widths = widest * np.array(WIDTHS)
+def _read_lists(query: np.ndarray, others: np.ndarray, order: np.ndarray, above: np.ndarray, below: np.ndarray, k: int):
+    """The candidates that may be among the ``k`` best of ``others``, and the number of entries read to tell.
+
+    Contributions count from each list's last one, so an unread list adds nothing to a lower bound and at most
+    its last read entry to an upper bound."""
+    d, n = order.shape
+    weight, up = np.abs(query), query > 0
+    widest = above[:, -1] * weight  # contributions of each list's first entry
+    widths = widest.max(initial=0) * np.array(WIDTHS)
+    depths = np.zeros((d, len(WIDTHS)), np.int64)  # how deep each round reads each list
     for i in np.flatnonzero(weight).tolist():
         room = widths / weight[i]
-        if query[i] > 0:
-            depths[i] = n - np.searchsorted(values[i], values[i, 0] + room, side="right")
-        else:
-            depths[i] = np.searchsorted(values[i], values[i, -1] - room, side="left")
+        depths[i] = n - np.searchsorted(above[i], room, "right") if up[i] else np.searchsorted(-below[i], -room, "left")
     depths[:, -1] = n
-    few = max(RESOLVED * k, k)
-    part, ends, unread, query_rest, row_rest = np.zeros(n), np.full(n, least.sum()), np.full(n, d), np.full(n, weight @ weight), squares.copy()
-    all_query = float(weight @ weight)
+    kept = place = np.arange(n)  # rows whose sums are still carried on, and where each row stands in them
+    lower, unread = np.zeros(n), np.full(n, d)
     before, total = np.zeros(d, np.int64), 0
-    alive = np.flatnonzero(others)
     for round_, after in enumerate(depths.T):
-        new = after - before
+        new, whole = after - before, round_ + 1 == len(WIDTHS)
         lists = np.flatnonzero(new)
-        if not len(lists) and round_ + 1 < len(WIDTHS):
+        if not len(lists) and not whole:
             continue
-        cuts = [(i, slice(n - after[i], n - before[i]) if query[i] > 0 else slice(before[i], after[i])) for i in lists.tolist()]
-        if cuts:
+        if len(lists):
+            cuts = [(i, slice(n - after[i], n - before[i]) if up[i] else slice(before[i], after[i])) for i in lists.tolist()]
             row = np.concatenate([order[i, cut] for i, cut in cuts])
-            value = np.concatenate([values[i, cut] for i, cut in cuts])
-            size = new[lists]
-            part += np.bincount(row, value * np.repeat(query[lists], size), n)
-            ends -= np.bincount(row, np.repeat(least[lists], size), n)
-            query_rest -= np.bincount(row, np.repeat(weight[lists] ** 2, size), n)
-            row_rest -= np.bincount(row, value**2, n)
-            unread -= np.bincount(row, minlength=n)
+            value = np.concatenate([(above if up[i] else below)[i, cut] for i, cut in cuts])
+            value *= np.repeat(weight[lists], new[lists])
             total += len(row)
-        before = np.maximum(before, after)
-        if round_ + 1 == len(WIDTHS):  # all is read
-            lower = upper = part
-        else:
-            last = np.where(before > 0, np.where(query < 0, -values[np.arange(d), np.maximum(before, 1) - 1],
-                                                 values[np.arange(d), n - np.maximum(before, 1)]) * weight, highest)
-            open_ = np.concatenate([[0], np.cumsum(-np.sort(least - last))])  # what so many unread lists can add at most
-            low = part + ends
-            rest = np.sqrt(np.maximum(query_rest + 1e-12 * all_query, 0) * np.maximum(row_rest + 1e-12 * squares, 0)) * (1 + 1e-9) + 1
-            lower, upper = np.maximum(low, part - rest), np.minimum(low + open_[unread], part + rest)
-        if len(alive) > k:
-            level = np.partition(lower[alive], len(alive) - k)[len(alive) - k]  # the k-th best lower bound
-            alive = alive[upper[alive] >= level]
-        if len(alive) <= few:
+            if len(kept) < n:
+                row = place[row]
+                use = np.flatnonzero(row >= 0)
+                row, value = row[use], value[use]
+            lower += np.bincount(row, value, len(kept))
+            unread -= np.bincount(row, minlength=len(kept))
+        before = after
+        at, final = np.arange(d), np.maximum(before, 1) - 1  # the last entries read
+        last = np.where(before > 0, np.where(up, above[at, n - 1 - final], below[at, final]) * weight, widest)
+        most = np.concatenate([[0], np.cumsum(-np.sort(-last))])  # what so many unread lists add at most
+        upper, own = lower + most[unread], ~others[kept]
+        bound = np.where(own, -np.inf, lower)
+        some = min(k, len(kept))
+        level = np.partition(bound, len(kept) - some)[len(kept) - some]  # the k-th best lower bound
+        able = np.flatnonzero((upper >= level) & ~own)
+        if whole or len(able) <= RESOLVED * k:
             break
-    return alive, total
+        if len(able) < DROPPED * len(kept):
+            kept, lower, unread = kept[able], lower[able], unread[able]
+            place = np.full(n, -1)
+            place[kept] = np.arange(len(kept))
+    return kept[able], total
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, reads: bool = False) -> DataFrame:
-    """``query_id, rank, vec_id, score`` (with ``reads`` also ``entries_read`` and ``entries``, those of all lists) of each row of ``queries`` among ``candidates``, both of
-    ``integer_vectors``. Only vectors of one length meet; a query with fewer candidates gets all.
+    """``query_id, rank, vec_id, score`` of each row of ``queries`` among ``candidates``, both of ``integer_vectors``;
+    with ``reads`` also ``entries_read``, and ``entries``, those of all lists. Only vectors of one length meet; a query with fewer candidates gets all.
 
     Ties go to the smaller vec_id. Rows that repeat a vec_id are candidates each, but none for a query
     with that vec_id; of queries that repeat a vec_id the one with the least vector (by length, then by its components

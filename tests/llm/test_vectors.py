@@ -194,4 +194,4 @@ def test_queries_stop_early_on_the_given_vectors(shipped):
     vectors = integer_vectors(shipped.read.parquet(f"{SF_CHECK}/embeddings.parquet"))
     rows = top_k(vectors.where("vec_id % 50 = 0"), vectors, 5, reads=True).where("rank = 1").collect()
     shares = [r["entries_read"] / r["entries"] for r in rows]
-    assert len(shares) == 10 and max(shares) < 0.95
+    assert len(shares) == 10 and max(shares) < 1 and sum(shares) < 0.9 * len(shares)

@@ -3,12 +3,13 @@
 A dataset is a folder with
 
 * ``parts/load=ID/part=K``: the files of part K as a load wrote them, never changed afterwards,
-* ``versions/version=N``: a small table that names for each part the load that holds it, with the part's figures.
+* ``versions/version=N``: a small table that names for each part the load that holds it, with the part's figures
+  (a row for each range of keys where a part holds several).
 
 A load writes new files for the parts it touches and then one new version table; parts that it does not touch keep the
 files they have. Readers take the highest version, so they see a load whole or not at all, and a load
-that dies leaves files that no version names. One load runs at a time. The version table has one row a part and
-is read on the driver to name the paths: the number of parts is bounded by the caller.
+that dies leaves files that no version names. One load runs at a time. The version table has one row a part or range and
+is read on the driver to name the paths: their number is bounded by the caller.
 """
 
 from __future__ import annotations
@@ -21,12 +22,14 @@ from pyspark.sql import functions as F
 from lakemart.sources.evolving import path_exists
 
 
-def current_parts(spark: SparkSession, path: str) -> list[dict]:
-    """The rows of the highest version: ``part``, ``load`` and what else was stored; none for a new dataset."""
+def current_parts(spark: SparkSession, path: str, schema: str | None = None) -> list[dict]:
+    """The rows of the highest version: ``part``, ``load`` and what else was stored; none for a new dataset.
+
+    With ``schema``, columns that an older version was stored without are null."""
     versions = f"{path.rstrip('/')}/versions"
     if not path_exists(spark, versions):
         return []
-    log = spark.read.parquet(versions)
+    log = (spark.read.schema(f"{schema}, version int") if schema else spark.read).parquet(versions)
     last = log.agg(F.max("version")).first()[0]
     return [r.asDict() for r in log.filter(F.col("version") == F.lit(last)).drop("version").orderBy("part").collect()]
 

@@ -263,6 +263,62 @@ def test_rows_of_one_key_stay_together(spark, tmp_path):
     assert [tuple(r) for r in page_after(spark, path, "a", 50).collect()] == rows[40:90]
 
 
+def test_small_ranges_share_files(spark, tmp_path, monkeypatch):
+    from lakemart.plans import page_index as pi
+    path = str(tmp_path / "mart")
+    monkeypatch.setattr(pi, "PART_ROWS", 1000, raising=False)
+    mart = lambda ids: spark.createDataFrame([(i, i * 2) for i in ids], "user_id long, v long").coalesce(1)
+    files = lambda: len(list(tmp_path.glob("mart/parts/load=*/part=*/*.parquet")))
+    keys = list(range(0, 8000, 2))
+    pi.append_rows(mart(keys), path, range_rows=5)
+    assert len(pi._entries(spark, path)) == 800 and files() == 4
+    # a few ranges of one part are replaced; the others stay where they are, beside rows that no longer count
+    for more in ([2001, 2003, 2041], [-3, 9001], list(range(2000, 2100))):
+        before = {(e["load"], e["_range"]) for e in pi._entries(spark, path)}
+        replaced = pi.append_rows(mart(more), path, range_rows=5)
+        keys = sorted(keys + more)
+        after = {(e["load"], e["_range"]) for e in pi._entries(spark, path)}
+        assert {r for _, r in before - after} == set(replaced) and len(replaced) <= 12
+        assert not {r for _, r in after - before} & {r for _, r in before}  # a number is never given twice
+        assert pi.total_rows(spark, path) == len(keys)
+    assert files() == 7
+    for page_no, size in ((1, 50), (21, 50), (6, 200), (22, 50), (len(keys) // 200 + 1, 200)):
+        assert [r["user_id"] for r in pi.indexed_page(spark, path, page_no, size).collect()] == keys[(page_no - 1) * size:page_no * size]
+    for key in (-9, -3, 1999, 2041, 2099, 7990, 9001):
+        assert [(r["user_id"], r["v"]) for r in pi.page_after(spark, path, key, 60).collect()] == [(k, 2 * k) for k in keys if k > key][:60]
+
+
+@pytest.mark.parametrize("kind, keys", [
+    ("string", ["", "a", "a\u0000b", "a\"b", "a,b", "a\\b", "Z", "\u00e9", "\uffff", "\U0001f600", "\n", "[]", "null"]),
+    ("double", [-1e308, -0.1, 0.0, 5e-324, 0.1 + 0.2, 1e22, 2.0 ** 53 + 2]),
+    ("float", [-3.4028234663852886e+38, 0.10000000149011612, 1.5]),
+    ("long", [-2 ** 63, -1, 0, 2 ** 53 + 1, 2 ** 63 - 1]), ("short", [-2 ** 15, 7, 2 ** 15 - 1])])
+def test_limits_of_each_kind_hold_their_rows(spark, tmp_path, kind, keys):
+    from lakemart.plans import page_index as pi
+    path = str(tmp_path / "mart")
+    rows = lambda n: spark.createDataFrame([(k, n) for k in keys], f"user_id {kind}, v int")
+    for n in range(3):
+        pi.append_rows(rows(n), path, range_rows=1)
+    assert [(e["low"], e["high"], e["n_rows"]) for e in pi._entries(spark, path)] == [(k, k, 3) for k in sorted(keys)]
+    assert [tuple(r) for r in pi.indexed_page(spark, path, 1, 200).collect()] == [(k, n) for k in sorted(keys) for n in range(3)]
+
+
+def test_a_mart_with_a_part_for_each_range_takes_appends(spark, tmp_path):
+    import json
+    from lakemart.plans import page_index as pi
+    path, load = str(tmp_path / "mart"), "0123456789ab"
+    old = spark.createDataFrame([(i, i, i // 10) for i in range(0, 60, 2)], "user_id long, v long, part int")
+    pi.versioned.write_parts(old, path, load)
+    pi.versioned.commit(spark, path, [{"part": p, "load": load, "n_rows": 5, "low": str(10 * p), "high": str(10 * p + 8), "key": "user_id",
+                                       "schema": json.dumps(old.drop("part").schema.jsonValue())} for p in range(6)],
+                        "part int, load string, n_rows long, low string, high string, key string, schema string")
+    assert [r["user_id"] for r in pi.page_after(spark, path, 19, 7).collect()] == [20, 22, 24, 26, 28, 30, 32]
+    added = spark.createDataFrame([(i, i) for i in (21, 23, 41)], "user_id long, v long")
+    assert pi.append_rows(added, path, range_rows=5) == [2, 4]
+    assert [r["user_id"] for r in pi.indexed_page(spark, path, 1, 50).collect()] == sorted([*range(0, 60, 2), 21, 23, 41])
+    assert [r["user_id"] for r in pi.page_after(spark, path, 38, 4).collect()] == [40, 41, 42, 44]
+
+
 # ------------------------------------------------ text of changing or declared shape, footers
 
 def test_variants_of_bad_documents(spark, tmp_path):

@@ -25,6 +25,7 @@ BASE_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    "spark.sql.maxMetadataStringLength": "1000",  # explain() shows the filters on directories whole
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
